@@ -253,8 +253,8 @@ def betweenness_sources(all_nodes: DataFrame, k: int, seed: int) -> DataFrame:
 def shortest_distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Length of the shortest path from each source to each node it reaches.
 
-    Distances are relaxed until a whole job changes none of them; extra steps
-    change nothing, so steps can be chained freely.
+    Distances are relaxed until the last step of a job changes none of them;
+    extra steps change nothing, so steps can be chained freely.
     """
     stays = nodes(edges).select(F.col("id").alias("src"), F.col("id").alias("dst"),
                                 F.lit(0).cast("bigint").alias("cost"), F.lit(True).alias("stay"))
@@ -264,12 +264,11 @@ def shortest_distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
     state = sources.select("source", F.col("source").alias("node"),
                            F.lit(0).cast("bigint").alias("distance"))
     while True:
-        state = state.withColumn("before", F.col("distance"))
         for _ in range(STEPS_PER_JOB):
             state = (state.join(hops, F.col("node") == F.col("src"))
                      .groupBy("source", F.col("dst").alias("node"))
                      .agg(F.min(F.col("distance") + F.col("cost")).alias("distance"),
-                          F.max(F.when(F.col("stay"), F.col("before"))).alias("before")))
+                          F.max(F.when(F.col("stay"), F.col("distance"))).alias("before")))
         state = cut_lineage(state)
         moved = state.filter(F.col("before").isNull()
                              | (F.col("before") != F.col("distance")))
@@ -309,10 +308,9 @@ def betweenness(edges: DataFrame, k: int = 100, seed: int = 42) -> DataFrame:
     The state is (source, node): at most ``k`` rows per node. With more nodes
     than ``k`` the sampled sum is scaled up by their ratio.
     """
-    all_nodes = cut_lineage(nodes(edges))
+    all_nodes = nodes(edges)
     count = all_nodes.count()
-    sources = cut_lineage(betweenness_sources(all_nodes, k, seed))
-    reach = shortest_distances(edges, sources)
+    reach = shortest_distances(edges, betweenness_sources(all_nodes, k, seed))
 
     near = reach.select("source", F.col("node").alias("src"), F.col("distance").alias("near"))
     far = reach.select("source", F.col("node").alias("dst"), F.col("distance").alias("far"))

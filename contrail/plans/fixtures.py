@@ -5,11 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.sources import schemas
-
-# Callsign prefixes by remainder, "DLH" for the rest.
+# Columns the fixtures read; a declared schema saves a file-sampling job per table.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double",
+}
+
+# Callsign prefixes by remainder of the part key.
 CALLSIGNS = ("rch", "RRR", "gaf", "PLF", "CNV", "LAGR", "TITAN", "VIPER", "HAWK", "VENOM",
-             "RAGE", "HOMER", "FORTE")
+             "RAGE", "HOMER", "FORTE", "DLH")
+# How far along its block a flight goes, by remainder of the customer
+# key; null leads to the first nation of the block.
+HOPS = (1, 1, 1, 1, 1, 1, 4, 4, None, 0, 1, 1, 1, 1, 1, 1, 4, 4, None, 2)
 
 # Military address ranges of the fixture.
 RANGES = (
@@ -21,70 +34,57 @@ RANGES = (
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _airport_code(key: str):
-    return F.concat(F.lit("n"), F.lpad(F.col(key).cast("string"), 3, "0"))
+def _array(values) -> str:
+    return "array(" + ", ".join("null" if v is None else repr(v) for v in values) + ")"
 
 
 def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
-    """Deliveries from line items: supplier nation to a nation of the same block."""
-    block_start = F.when(F.col("s_nationkey") < 15, 0).otherwise(15)
-    block_size = F.when(F.col("s_nationkey") < 15, 15).otherwise(10)
-    suppliers = table(spark, folder, "supplier").select(
-        "s_suppkey", "s_nationkey", block_start.alias("g"), block_size.alias("m"))
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    shipped = F.col("l_shipdate").cast("timestamp")
-    lines = table(spark, folder, "lineitem").select(
+    """Deliveries from line items: supplier nation to a nation of the same block.
+
+    What depends on the order or the supplier alone is computed before the join.
+    """
+    orders = table(spark, folder, "orders").selectExpr(
+        "o_orderkey", f"get({_array(HOPS)}, int(o_custkey % 20)) as hop")
+    suppliers = table(spark, folder, "supplier").selectExpr(
+        "s_suppkey", "s_nationkey",
+        "if(s_nationkey < 15, 0, 15) as block", "if(s_nationkey < 15, 15, 10) as size",
+        "concat('n', lpad(string(s_nationkey), 3, '0')) as origin",
+        "get(array(3866624, 11403264, 7866368), int(s_suppkey % 10)) as fleet",
+        "s_suppkey % 10 between 3 and 7 as bursts",
+        "int(200 + s_suppkey % 4800) as arrival_horiz",
+        "int(10 + s_suppkey % 190) as arrival_vert",
+        "int(1 + s_suppkey % 4) as arrival_candidates")
+    lines = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        F.unix_timestamp(shipped).alias("midnight"), shipped.cast("date").alias("source_date"))
-    joined = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")))
-
-    part, supp, cust = F.col("l_partkey"), F.col("l_suppkey") % 10, F.col("o_custkey") % 10
-    burst = (supp.between(3, 7) & (F.dayofmonth("source_date") == 13)
-             & F.month("source_date").isin(3, 9))
-    base = (F.when(supp == 0, 3866624).when(supp == 1, 11403264).when(supp == 2, 7866368)
-            .when(burst, 3866624).otherwise(2097152))
-    offset = F.col("s_nationkey") - F.col("g")
-    dest = (F.when(cust < 6, F.col("g") + (offset + 1) % F.col("m"))
-            .when(cust < 8, F.col("g") + (offset + 4) % F.col("m"))
-            .when(cust == 8, F.col("g"))
-            .when(F.col("o_custkey") % 20 == 9, F.col("s_nationkey"))
-            .otherwise(F.col("g") + (offset + 2) % F.col("m")))
-    seen = (F.col("midnight")
-            + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 86400)
-    flights = joined.withColumns({"base": base, "dest": dest, "fs": seen})
-
-    prefix = F
-    for remainder, name in enumerate(CALLSIGNS):
-        prefix = prefix.when(part % 14 == remainder, name)
-    prefix = prefix.otherwise("DLH")
-    address = F.lpad(F.lower(F.hex((F.col("base") + part % 2048).cast("bigint"))), 6, "0")
-
-    def whole(value):
-        return value.cast("int")
-
-    return flights.select(
-        F.concat(F.lit(" "), F.upper(address), F.lit(" ")).alias("icao24"),
-        F.col("fs").alias("firstSeen"),
-        _airport_code("s_nationkey").alias("estDepartureAirport"),
-        F.when(part % 97 == 0, F.col("fs") - 60)
-        .when(part % 101 == 0, F.col("fs") + 90000)
-        .otherwise(F.col("fs") + 1800 + (F.col("l_quantity") * 600).cast("bigint"))
-        .alias("lastSeen"),
-        F.when(F.col("l_linenumber") != 7, _airport_code("dest")).alias("estArrivalAirport"),
-        F.when(part % 50 != 0, F.concat(prefix, (part % 1000).cast("string")))
-        .alias("callsign"),
-        whole(200 + part % 4800).alias("estDepartureAirportHorizDistance"),
-        whole(10 + part % 190).alias("estDepartureAirportVertDistance"),
-        whole(200 + F.col("l_suppkey") % 4800).alias("estArrivalAirportHorizDistance"),
-        whole(10 + F.col("l_suppkey") % 190).alias("estArrivalAirportVertDistance"),
-        whole(1 + part % 4).alias("departureAirportCandidatesCount"),
-        whole(1 + F.col("l_suppkey") % 4).alias("arrivalAirportCandidatesCount"),
-        _airport_code("s_nationkey").alias("_source_airport"),
-        F.lit("departure").alias("_source_direction"),
+        "date(l_shipdate) as source_date",
+        "unix_timestamp(timestamp(l_shipdate))"
+        " + (l_orderkey * 37 + l_linenumber * 11) % 86400 as first_seen")
+    joined = (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+              .join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]))
+    return joined.selectExpr(
+        "concat(' ', lpad(hex(coalesce(fleet, if(bursts and day(source_date) = 13"
+        " and month(source_date) in (3, 9), 3866624, 2097152)) + l_partkey % 2048), 6, '0'),"
+        " ' ') as icao24",
+        "first_seen as firstSeen",
+        "origin as estDepartureAirport",
+        "first_seen + case when l_partkey % 97 = 0 then -60 when l_partkey % 101 = 0 then 90000"
+        " else 1800 + bigint(l_quantity * 600) end as lastSeen",
+        "if(l_linenumber = 7, null, concat('n', lpad(string("
+        "block + if(hop is null, 0, (s_nationkey - block + hop) % size)), 3, '0')))"
+        " as estArrivalAirport",
+        f"if(l_partkey % 50 = 0, null, concat(get({_array(CALLSIGNS)}, int(l_partkey % 14)),"
+        " string(l_partkey % 1000))) as callsign",
+        "int(200 + l_partkey % 4800) as estDepartureAirportHorizDistance",
+        "int(10 + l_partkey % 190) as estDepartureAirportVertDistance",
+        "arrival_horiz as estArrivalAirportHorizDistance",
+        "arrival_vert as estArrivalAirportVertDistance",
+        "int(1 + l_partkey % 4) as departureAirportCandidatesCount",
+        "arrival_candidates as arrivalAirportCandidatesCount",
+        "origin as _source_airport",
+        "'departure' as _source_direction",
         "source_date")
 
 
@@ -95,24 +95,25 @@ def arrival_pull(raw: DataFrame) -> DataFrame:
 
 
 def airport_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    return (table(spark, folder, "nation").filter(key < 24)
-            .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.concat(F.lit(" "), _airport_code("n_nationkey")).alias("airport_id"),
-                F.col("n_name").alias("airport_name"),
-                F.concat(F.lit("City "), "n_name").alias("city"),
-                F.substring("r_name", 1, 2).alias("country_code"),
-                F.col("r_name").alias("country_name"),
-                ((-60 + (key * 37) % 120).cast("double") + 0.25).alias("latitude"),
-                ((-170 + (key * 71) % 340).cast("double") + 0.5).alias("longitude"),
-                F.lit("UTC").alias("timezone"),
-                F.when(key % 8 == 0, "military").otherwise("international")
-                .alias("airport_type")))
+    nations = table(spark, folder, "nation").filter("n_nationkey < 24")
+    regions = table(spark, folder, "region")
+    return nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"]).selectExpr(
+        "concat(' n', lpad(string(n_nationkey), 3, '0')) as airport_id",
+        "n_name as airport_name",
+        "concat('City ', n_name) as city",
+        "substr(r_name, 1, 2) as country_code",
+        "r_name as country_name",
+        "double(-60 + (n_nationkey * 37) % 120) + 0.25d as latitude",
+        "double(-170 + (n_nationkey * 71) % 340) + 0.5d as longitude",
+        "'UTC' as timezone",
+        "if(n_nationkey % 8 = 0, 'military', 'international') as airport_type")
 
 
 def military_ranges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(RANGES), schemas.MILITARY_RANGES)
+    """The fixed ranges as inline values, whose size the optimizer knows."""
+    rows = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in RANGES)
+    return spark.sql(f"select * from values {rows} as t(range_start, range_end, country_code, "
+                     "country_name, military_branch, notes)")
 
 
 def supplier_ranges(spark: SparkSession, folder: str) -> DataFrame:
@@ -121,31 +122,24 @@ def supplier_ranges(spark: SparkSession, folder: str) -> DataFrame:
     Blocks start every 64 addresses and are 96 long, so neighbours overlap; they
     lie in the three military areas and the civil one of the flight fixture.
     """
-    number, size = F.col("s_suppkey"), F.lit(96)
-    area = (F.when(number % 4 == 0, 3866624).when(number % 4 == 1, 11403264)
-            .when(number % 4 == 2, 7866368).otherwise(2097152))
-    start = (area + (F.floor(number / 4) * 64) % 65536).cast("bigint")
-
-    def address(value):
-        return F.lpad(F.lower(F.hex(value)), 6, "0")
-
-    return table(spark, folder, "supplier").select(
-        F.concat(F.lit(" "), F.upper(address(start))).alias("range_start"),
-        F.concat(address((start + size - 1).cast("bigint")), F.lit(" ")).alias("range_end"),
-        F.concat(F.lit("c"), (F.col("s_nationkey")).cast("string")).alias("country_code"),
-        F.concat(F.lit(" "), "s_name").alias("country_name"),
-        F.concat(F.lit("Branch "), (number % 5).cast("string")).alias("military_branch"),
-        F.when(number % 3 != 0, F.concat(F.lit("block "), number.cast("string")))
-        .alias("notes"))
+    return (
+        table(spark, folder, "supplier")
+        .selectExpr("*", "get(array(3866624, 11403264, 7866368, 2097152), int(s_suppkey % 4))"
+                    " + (s_suppkey div 4 * 64) % 65536 as start")
+        .selectExpr(
+            "concat(' ', lpad(hex(start), 6, '0')) as range_start",
+            "concat(lpad(lower(hex(start + 95)), 6, '0'), ' ') as range_end",
+            "concat('c', string(s_nationkey)) as country_code",
+            "concat(' ', s_name) as country_name",
+            "concat('Branch ', string(s_suppkey % 5)) as military_branch",
+            "if(s_suppkey % 3 != 0, concat('block ', string(s_suppkey)), null) as notes"))
 
 
 def state_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Events as positional vectors of text, one per row."""
-    user, value = F.col("user_id"), F.col("value").cast("string")
-    seconds = F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string")
-    return table(spark, folder, "events").select("event_id", F.array(
-        F.lower(F.hex(user)), F.col("event_type"),
-        F.concat(F.lit("C"), (user % 5).cast("string")), seconds, seconds,
-        value, value, value, F.lit("false"), value, value, value, F.lit(None).cast("string"),
-        value, (user % 8).cast("string"), F.lit("true"), (user % 3).cast("string"))
-        .alias("state"))
+    seconds = "string(unix_timestamp(timestamp(ts)))"
+    number = "string(value)"
+    return table(spark, folder, "events").selectExpr("event_id", f"""array(
+        lower(hex(user_id)), event_type, concat('C', string(user_id % 5)),
+        {seconds}, {seconds}, {number}, {number}, {number}, 'false', {number}, {number},
+        {number}, null, {number}, string(user_id % 8), 'true', string(user_id % 3)) as state""")

@@ -11,7 +11,7 @@ from contrail.functions import geo, numeric, time
 from contrail.operators import (activity, anomaly, enrich, graph, network, quality, ranges,
                                 routes, serving, staging)
 from contrail.plans import fixtures, pipeline
-from contrail.session import cut_lineage
+from contrail.session import apply_settings, cut_lineage
 from contrail.sources import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,9 @@ SERIES_COUNTRY = "DE"
 
 
 def query(function: Query) -> Query:
-    """Register under the function's name; models assume the UTC zone."""
+    """Register under the function's name."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        apply_settings(spark)
         return function(spark, folder)
 
     _QUERIES[function.__name__] = run

@@ -1,53 +1,73 @@
-"""Session set-up and the shared checkpoint folder."""
+"""Session set-up and the shared folder for intermediate results."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Settings the models rely on that a running session can still take over.
+RUNTIME_SETTINGS = {
+    # dates derive from timestamps in the session zone
+    "spark.sql.session.timeZone": "UTC",
+    # the JVM leaves methods above 8000 bytes of bytecode to its interpreter;
+    # wide expressions are faster in smaller generated pieces
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+SESSION_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # capturing the Python call site of every expression slows down plan building
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(app: str = "contrail", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
-    """A session with the settings the models rely on (zone, adaptive execution)."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    )
+    """A session with the settings above; ``conf`` adds to or overrides them."""
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in (conf or {}).items():
+    for key, value in {**RUNTIME_SETTINGS, **SESSION_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``.
+def apply_settings(spark: SparkSession) -> None:
+    """Bring a session made elsewhere in line with what the models rely on."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+
 
-    On a cluster the folder must be shared storage, so a missing setting is an
-    error there; only a local master falls back to a temporary folder.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
+
+    On a cluster it must be shared storage, so a missing setting is an error
+    there; only a local master falls back to a temporary folder.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="contrail-checkpoint-")
-    context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="contrail-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from the written rows.
 
-    Reliable checkpoints survive the loss of executors and keep the plans of
-    iterative jobs short.
+    The rows survive the loss of executors and plans of iterative jobs stay
+    short. Unlike a checkpointed RDD a written table has a known size, so the
+    optimizer broadcasts it only if it is below the session's threshold.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    application = spark.sparkContext.applicationId
+    path = f"{checkpoint_folder(spark)}/contrail-{application}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
