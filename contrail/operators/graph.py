@@ -85,51 +85,74 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float | None = 1e-6,
 
     Stops at the first iteration whose total change is below ``nodes * tol`` and
     fails after ``max_iter`` ones; without ``tol`` it makes exactly ``max_iter``
-    iterations. The score of nodes without outgoing edges is spread evenly; when
-    there are such nodes their total is needed before each step, so steps are
-    then not chained.
+    iterations.
+
+    An iteration is ``r' = T r + c u``: T moves scores along edges and u is the
+    even distribution, which receives the constant part and the score ``c``
+    lost at nodes without outgoing edges. As T is linear, a job only applies T
+    several times, to the scores and once to u; the factors c follow from sums
+    over the stored columns, so no step has to wait for the sum of the one before.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("out_weight"))
     start = cut_lineage(
         nodes(edges).join(out, F.col("id") == F.col("src"), "left")
         .select("id", F.col("out_weight").isNull().cast("double").alias("dangling")))
-    count, dangling_nodes = start.agg(F.count(F.lit(1)), F.sum("dangling")).first()
+    count = start.count()
     if not count:
         return start.select("id", F.lit(0.0).alias("pagerank"))
     moves = edges.join(out, "src").select(
-        "src", "dst", (F.col("weight") / F.col("out_weight")).alias("share"),
+        "src", "dst", (F.lit(alpha) * F.col("weight") / F.col("out_weight")).alias("share"),
         F.lit(0.0).alias("stay"))
     stays = start.select(F.col("id").alias("src"), F.col("id").alias("dst"),
                          F.lit(0.0).alias("share"), F.lit(1.0).alias("stay"))
     moves = cut_lineage(moves.unionByName(stays))
 
-    chain = 1 if dangling_nodes else STEPS_PER_JOB
-    lost = dangling_nodes / count
-    state = start.withColumn("r0", F.lit(1.0 / count))
+    # columns: q0..qn the scores moved 0..n times, even0.. the same for u
+    state = start.withColumn("q0", F.lit(1.0 / count))
+    evens: list[str] = []
     done = 0
     while done < max_iter:
-        steps = min(chain, max_iter - done)
+        steps = min(STEPS_PER_JOB, max_iter - done)
         for k in range(steps):
-            kept = [F.sum(F.col("stay") * F.col(c)).alias(c)
-                    for c in ["dangling", *[f"r{j}" for j in range(k + 1)]]]
-            inflow = F.sum(F.col("share") * F.col(f"r{k}"))
+            kept = ["dangling", *evens, *[f"q{j}" for j in range(k + 1)]]
             state = (state.join(moves, F.col("id") == F.col("src"))
                      .groupBy(F.col("dst").alias("id"))
-                     .agg(*kept, (F.lit(alpha) * (inflow + F.lit(lost / count))
-                                  + F.lit((1.0 - alpha) / count)).alias(f"r{k + 1}")))
+                     .agg(*[F.sum(F.col("stay") * F.col(c)).alias(c) for c in kept],
+                          F.sum(F.col("share") * F.col(f"q{k}")).alias(f"q{k + 1}")))
         state = cut_lineage(state)
-        *changes, lost = state.agg(
-            *[F.sum(F.abs(F.col(f"r{k + 1}") - F.col(f"r{k}"))) for k in range(steps)],
-            F.sum(F.col("dangling") * F.col(f"r{steps}"))).first()
+        if not evens:
+            # the first job started from u itself
+            evens = [f"even{j}" for j in range(steps)]
+            state = state.select("*", *[F.col(f"q{j}").alias(e) for j, e in enumerate(evens)])
+        scores = _combine(state, alpha, steps, evens)
+        changes = state.agg(*[F.sum(F.abs(after - before))
+                              for before, after in zip(scores, scores[1:])]).first()
         done += steps
         if tol is not None:
-            for k, change in enumerate(changes):
+            for score, change in zip(scores[1:], changes):
                 if change < count * tol:
-                    return state.select("id", F.col(f"r{k + 1}").alias("pagerank"))
-        state = state.select("id", "dangling", F.col(f"r{steps}").alias("r0"))
+                    return state.select("id", score.alias("pagerank"))
+        state = state.select("id", "dangling", *evens, scores[-1].alias("q0"))
     if tol is not None:
         raise RuntimeError(f"PageRank did not settle within {max_iter} iterations")
-    return state.select("id", F.col("r0").alias("pagerank"))
+    return state.select("id", F.col("q0").alias("pagerank"))
+
+
+def _combine(state: DataFrame, alpha: float, steps: int, evens: list[str]) -> list[Column]:
+    """Scores before the first and after each of ``steps`` iterations."""
+    lost_columns = [*[f"q{j}" for j in range(steps)], *evens]
+    sums = state.agg(*[F.sum(F.col("dangling") * F.col(c)).alias(c)
+                       for c in lost_columns]).first()
+    factors: list[float] = []
+    scores = [F.col("q0")]
+    for k in range(steps):
+        lost = sums[f"q{k}"] + sum(factors[k - 1 - j] * sums[evens[j]] for j in range(k))
+        factors.append(alpha * lost + 1.0 - alpha)
+        score = F.col(f"q{k + 1}")
+        for j in range(k + 1):
+            score = score + F.lit(factors[k - j]) * F.col(evens[j])
+        scores.append(score)
+    return scores
 
 
 # --- connected components ------------------------------------------------

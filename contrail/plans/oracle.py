@@ -12,6 +12,7 @@ from contrail.operators import quality
 from contrail.plans.registry import FIXED_ITERATIONS, LOAD_DATE, SERIES_COUNTRY
 
 ALPHA = 0.85
+MAX_ITERATIONS = 100
 # Steps that suffice for shortest paths and labels: the graph has 25 nodes at most.
 GRAPH_STEPS = 25
 
@@ -386,7 +387,7 @@ MODELS["shares"] = """
 select src, dst, weight / sum(weight) over (partition by src) as share from edges"""
 
 MODELS["rank_0"] = "select id, 1.0::double / (select count(*) from graph_nodes) as r from graph_nodes"
-for _k in range(1, FIXED_ITERATIONS + 1):
+for _k in range(1, MAX_ITERATIONS + 1):
     MODELS[f"rank_{_k}"] = f"""
 select n.id, {ALPHA}::double * (coalesce(i.inflow, 0) + l.lost) + {1 - ALPHA}::double * l.even as r
 from graph_nodes n
@@ -395,6 +396,15 @@ left join (select dst, sum(share * r) as inflow from shares join rank_{_k - 1} o
 cross join (select coalesce(sum(case when id not in (select src from edges) then r end), 0)
                    / count(*) as lost, 1::double / count(*) as even from rank_{_k - 1}) l"""
 
+# the first iteration whose total change is below the tolerance
+MODELS["settled_step"] = ("select min(step) as step from (" + " union all ".join(
+    f"select {k} as step, sum(abs(a.r - b.r)) as change, count(*) as n "
+    f"from rank_{k} a join rank_{k - 1} b on a.id = b.id"
+    for k in range(1, MAX_ITERATIONS + 1)) + ") c where change < n * 1e-6")
+MODELS["settled"] = ("select id, r from (" + " union all ".join(
+    f"select {k} as step, id, r from rank_{k}"
+    for k in range(1, MAX_ITERATIONS + 1)) + ") s where step = (select step from settled_step)")
+
 MODELS["links"] = "select src, dst from edges union select dst, src from edges"
 MODELS["label_0"] = "select id, id as label from graph_nodes"
 for _k in range(1, GRAPH_STEPS + 1):
@@ -476,7 +486,7 @@ select r.id as airport_id, {even('r', 6)} as pagerank_score,
        row_number() over (order by {rnd('r', 12)} desc, r.id) as hub_rank,
        (select count(*) from graph_nodes) as graph_total_nodes,
        (select count(*) from edges) as graph_total_edges
-from rank_{FIXED_ITERATIONS} r join wdegree w on r.id = w.id join centrality b on r.id = b.id
+from settled r join wdegree w on r.id = w.id join centrality b on r.id = b.id
 left join clustered c on r.id = c.id join communities m on r.id = m.id"""
 
 MODELS["map_points"] = """

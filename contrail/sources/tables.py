@@ -127,6 +127,12 @@ def replace_partitions(df: DataFrame, name: str, schema: T.StructType,
     order = spark.table(name).columns
     out = df.hint("rebalance", F.col(partition_by)).observe(
         written, F.count(F.lit(1)).alias("rows")).select(*order)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .insertInto(name, overwrite=True))
+    # insertInto takes the mode from the session only
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        out.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
     return written.get["rows"]
