@@ -22,6 +22,24 @@ def even_round(col: Column, digits: int) -> Column:
     return F.rint(col * scale) / scale
 
 
+def text_round(col: Column, digits: int) -> Column:
+    """Nearest decimal to the exact binary value, as printing with fixed digits gives.
+
+    ``col * scale`` can round onto a half although the exact product lies beside
+    it (2.675 is a little less than it looks); the rounding error of the product,
+    from a split of ``col`` into two short halves, then tells the side.
+    """
+    scale = F.lit(10.0 ** digits)
+    scaled = col * scale
+    shifted = col * F.lit(134217729.0)
+    high = shifted - (shifted - col)
+    error = (high * scale - scaled) + (col - high) * scale
+    below = F.floor(scaled).cast("double")
+    half = scaled - below == 0.5
+    return (F.when(half & (error < 0), below).when(half & (error > 0), below + 1)
+            .otherwise(F.rint(scaled)) / scale)
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Double division; null when the denominator is zero or null."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

@@ -123,7 +123,7 @@ def alert_digest(scores: DataFrame, k: int = 20) -> DataFrame:
         F.format_string("[%s] %s on %s: %d flights (z=%.2f)",
                         F.col("anomaly_level"), F.col("country_code"),
                         F.col("date_id").cast("string"), F.col("military_flight_count"),
-                        numeric.even_round(z, 2)))
+                        numeric.text_round(z, 2)))
 
 
 def alert_counts(digest: DataFrame) -> DataFrame:

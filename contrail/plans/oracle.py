@@ -705,10 +705,10 @@ MODELS["digest"] = """
 select date_id, country_code, military_flight_count, z_score, anomaly_level
 from scored where anomaly_level in ('CRITICAL', 'HIGH')
 order by z_score desc, date_id, country_code limit 20"""
-FINAL["alert_digest"] = f"""
+FINAL["alert_digest"] = """
 select *, '[' || anomaly_level || '] ' || country_code || ' on ' || cast(date_id as varchar)
           || ': ' || military_flight_count || ' flights (z='
-          || printf('%.2f', {even('z_score', 2)}) || ')' as alert_line
+          || printf('%.2f', z_score) || ')' as alert_line
 from digest"""
 FINAL["alert_counts"] = """
 select count(*) filter (where anomaly_level = 'CRITICAL') as critical_count,

@@ -24,6 +24,14 @@ def test_even_round(spark, value, digits, expected):
     assert one(spark, numeric.even_round(F.lit(value), digits)) == expected
 
 
+def test_text_round_equals_printing(spark):
+    values = [2.675, 2.125, 2.345, 1.005, 0.285, -2.675, 0.0, 3.0] + [
+        round(2.5 + k / 1000 + 0.005, 4) for k in range(0, 4000, 10)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select(numeric.text_round(F.col("v"), 2)).collect()
+    assert [f"{r[0]:.2f}" for r in got] == [f"{v:.2f}" for v in values]
+
+
 def test_ratio_is_null_on_zero(spark):
     assert one(spark, numeric.ratio(F.lit(1), F.lit(0))) is None
     assert one(spark, numeric.ratio(F.lit(1), F.lit(4))) == 0.25
