@@ -56,5 +56,5 @@ def share_pct(flag: Column) -> Column:
 
 
 def count_if(flag: Column) -> Column:
-    """Aggregate: rows for which ``flag`` is true, as bigint and never null in a group."""
-    return F.sum(F.when(flag, F.lit(1)).otherwise(F.lit(0)))
+    """Aggregate: number of rows for which ``flag`` is true."""
+    return F.count(F.when(flag, F.lit(1)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.sources import tables
+
 # Columns the fixtures read; a declared schema saves a file-sampling job per table.
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -57,7 +59,7 @@ def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
         "int(200 + s_suppkey % 4800) as arrival_horiz",
         "int(10 + s_suppkey % 190) as arrival_vert",
         "int(1 + s_suppkey % 4) as arrival_candidates")
-    lines = table(spark, folder, "lineitem").selectExpr(
+    lines = tables.spread(table(spark, folder, "lineitem"), "l_orderkey").selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "date(l_shipdate) as source_date",
         "unix_timestamp(timestamp(l_shipdate))"
