@@ -87,17 +87,18 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float | None = 1e-6,
     fails after ``max_iter`` ones; without ``tol`` it makes exactly ``max_iter``
     iterations.
 
-    An iteration is ``r' = T r + c u``: T moves scores along edges and u is the
-    even distribution, which receives the constant part and the score ``c``
-    lost at nodes without outgoing edges. As T is linear, a job only applies T
-    several times, to the scores and once to u; the factors c follow from sums
-    over the stored columns, so no step has to wait for the sum of the one before.
+    An iteration moves scores along edges (T), gives every node an even part u
+    of the constant share and spreads the score lost at nodes without outgoing
+    edges evenly, too. Without such nodes the steps simply follow each other.
+    With them the lost score would be needed before each step; as T is linear,
+    the steps are made without it and the job's result is corrected by multiples
+    of T^j u, whose factors follow from sums over the stored columns.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("out_weight"))
     start = cut_lineage(
         nodes(edges).join(out, F.col("id") == F.col("src"), "left")
         .select("id", F.col("out_weight").isNull().cast("double").alias("dangling")))
-    count = start.count()
+    count, dangling = start.agg(F.count(F.lit(1)), F.sum("dangling")).first()
     if not count:
         return start.select("id", F.lit(0.0).alias("pagerank"))
     moves = edges.join(out, "src").select(
@@ -107,24 +108,26 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float | None = 1e-6,
                          F.lit(0.0).alias("share"), F.lit(1.0).alias("stay"))
     moves = cut_lineage(moves.unionByName(stays))
 
-    # columns: q0..qn the scores moved 0..n times, even0.. the same for u
+    # columns: q0..qn the scores after 0..n steps, even0.. the vectors T^j u
     state = start.withColumn("q0", F.lit(1.0 / count))
-    evens: list[str] = []
+    carried = ["dangling"] if dangling else []
     done = 0
     while done < max_iter:
         steps = min(STEPS_PER_JOB, max_iter - done)
         for k in range(steps):
-            kept = ["dangling", *evens, *[f"q{j}" for j in range(k + 1)]]
+            kept = [*carried, *[f"q{j}" for j in range(k + 1)]]
+            moved = F.sum(F.col("share") * F.col(f"q{k}")) + F.lit((1.0 - alpha) / count)
             state = (state.join(moves, F.col("id") == F.col("src"))
                      .groupBy(F.col("dst").alias("id"))
                      .agg(*[F.sum(F.col("stay") * F.col(c)).alias(c) for c in kept],
-                          F.sum(F.col("share") * F.col(f"q{k}")).alias(f"q{k + 1}")))
+                          moved.alias(f"q{k + 1}")))
         state = cut_lineage(state)
-        if not evens:
-            # the first job started from u itself
-            evens = [f"even{j}" for j in range(steps)]
-            state = state.select("*", *[F.col(f"q{j}").alias(e) for j, e in enumerate(evens)])
-        scores = _combine(state, alpha, steps, evens)
+        scores = [F.col(f"q{k}") for k in range(steps + 1)]
+        if dangling:
+            if done == 0:
+                state, evens = _even_vectors(state, alpha, steps)
+                carried = ["dangling", *evens]
+            scores = _with_lost_scores(state, alpha, scores, carried[1:])
         changes = state.agg(*[F.sum(F.abs(after - before))
                               for before, after in zip(scores, scores[1:])]).first()
         done += steps
@@ -132,27 +135,41 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float | None = 1e-6,
             for score, change in zip(scores[1:], changes):
                 if change < count * tol:
                     return state.select("id", score.alias("pagerank"))
-        state = state.select("id", "dangling", *evens, scores[-1].alias("q0"))
+        state = state.select("id", *carried, scores[-1].alias("q0"))
     if tol is not None:
         raise RuntimeError(f"PageRank did not settle within {max_iter} iterations")
     return state.select("id", F.col("q0").alias("pagerank"))
 
 
-def _combine(state: DataFrame, alpha: float, steps: int, evens: list[str]) -> list[Column]:
-    """Scores before the first and after each of ``steps`` iterations."""
-    lost_columns = [*[f"q{j}" for j in range(steps)], *evens]
+def _even_vectors(state: DataFrame, alpha: float, steps: int) -> tuple[DataFrame, list[str]]:
+    """T^j u from the first job, which started at u and added u's part in each step:
+    T^j u = q_j - (1 - alpha) * (q_(j-1) + alpha q_(j-2) + alpha^2 q_(j-3) + ...)."""
+    vectors = []
+    for j in range(steps):
+        vector = F.col(f"q{j}")
+        for i in range(1, j + 1):
+            vector = vector - F.lit((1.0 - alpha) * alpha ** (i - 1)) * F.col(f"q{j - i}")
+        vectors.append(vector.alias(f"even{j}"))
+    return state.select("*", *vectors), [f"even{j}" for j in range(steps)]
+
+
+def _with_lost_scores(state: DataFrame, alpha: float, scores: list[Column],
+                      evens: list[str]) -> list[Column]:
+    """Add what each step should have received from nodes without outgoing edges."""
+    steps = len(scores) - 1
+    lost_columns = [*[f"q{k}" for k in range(steps)], *evens]
     sums = state.agg(*[F.sum(F.col("dangling") * F.col(c)).alias(c)
                        for c in lost_columns]).first()
     factors: list[float] = []
-    scores = [F.col("q0")]
+    corrected = [scores[0]]
     for k in range(steps):
         lost = sums[f"q{k}"] + sum(factors[k - 1 - j] * sums[evens[j]] for j in range(k))
-        factors.append(alpha * lost + 1.0 - alpha)
-        score = F.col(f"q{k + 1}")
+        factors.append(alpha * lost)
+        score = scores[k + 1]
         for j in range(k + 1):
             score = score + F.lit(factors[k - j]) * F.col(evens[j])
-        scores.append(score)
-    return scores
+        corrected.append(score)
+    return corrected
 
 
 # --- connected components ------------------------------------------------
