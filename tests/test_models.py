@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.config import Settings
-from contrail.operators import activity, anomaly, enrich, network, routes, staging
+from contrail.operators import activity, anomaly, network, routes
 from contrail.plans import pipeline
 
 RAW = ("icao24 string, firstSeen bigint, estDepartureAirport string, lastSeen bigint, "

@@ -1,7 +1,4 @@
-import datetime as dt
-
 import pytest
-from pyspark.sql import functions as F
 
 from contrail.operators import quality
 from contrail.operators.quality import Check
