@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,21 +41,20 @@ def apply_settings(spark: SparkSession) -> None:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    On a cluster it must be shared storage, so a missing setting is an error
-    there; only a local master falls back to a temporary folder.
+    Where the setting is missing, a folder in the session's warehouse is used,
+    which executors have to reach in any case. The rule is the same for every
+    master.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="contrail-"))
-    return context.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path below the shared folder, in the application's own subfolder."""
+    application = spark.sparkContext.applicationId
+    return f"{checkpoint_folder(spark)}/contrail-{application}/{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -67,7 +65,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     optimizer broadcasts it only if it is below the session's threshold.
     """
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{checkpoint_folder(spark)}/contrail-{application}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
