@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontaminate, mixing, quality_rules
+from contrail.llm import decontaminate, mixing, ngram_join, quality_rules
 from contrail.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def with_domain(docs: DataFrame) -> DataFrame:
     return docs.withColumn("domain", F.when(F.col("source") == "src0", "hub").otherwise("web"))
 
 
+@query
+def op1_ngram_jaccard_join(spark, folder):
+    return ngram_join.near_duplicates(table(spark, folder, "documents")).drop("sid")
+
+
 @query
 def op2_source_mixture(spark, folder):
     return mixing.mixture(with_domain(table(spark, folder, "documents")), MIX_WEIGHTS,
