@@ -55,18 +55,14 @@ GROUP_QUERIES = 64
 BROADCAST_IDS = 1_000_000
 
 
-def least_overlap(a, b):
-    """Smallest intersection of linked sets of sizes a and b (numbers or arrays)."""
-    return -(-(THRESHOLD * (a + b)) // (100 + THRESHOLD))
-
+def query_prefix(n: int, threshold: int) -> int:
+    """Shingles of which a set shares one with any linked set that is not larger."""
+    return n - -(-threshold * n // 100) + 1
 
-def _overlap_sql(a: str, b: str) -> str:
-    return f"(({THRESHOLD} * ({a} + {b}) + {99 + THRESHOLD}) div {100 + THRESHOLD})"
 
-
-def query_prefix(n: int) -> int:
-    """Shingles of which a set shares one with any linked set that is not larger."""
-    return n - -(-THRESHOLD * n // 100) + 1
+def _least_overlap(a: str, b: str, threshold: int) -> str:
+    """SQL of the smallest intersection of linked sets of sizes a and b."""
+    return f"(({threshold} * ({a} + {b}) + {99 + threshold}) div {100 + threshold})"
 
 
 # --- 1. frequent shingles ------------------------------------------------
@@ -130,7 +126,7 @@ def frequent_shingles(docs: DataFrame, size: int = SIZE) -> np.ndarray:
 
 # --- 2. sets -------------------------------------------------------------
 
-def _prefixes(frequent: np.ndarray, size: int):
+def _prefixes(frequent: np.ndarray, size: int, threshold: int):
     def is_frequent(tokens: np.ndarray) -> np.ndarray:
         if not len(frequent):
             return np.zeros(len(tokens), bool)
@@ -149,9 +145,10 @@ def _prefixes(frequent: np.ndarray, size: int):
                     rows.append((None, 0, None, None))
                     continue
                 last = is_frequent(tokens)
-                first = tokens[~last][:query_prefix(n)]
-                if len(first) < query_prefix(n):
-                    first = np.concatenate([first, tokens[last][:query_prefix(n) - len(first)]])
+                wanted = query_prefix(n, threshold)
+                first = tokens[~last][:wanted]
+                if len(first) < wanted:
+                    first = np.concatenate([first, tokens[last][:wanted - len(first)]])
                 prefix = first.view(np.int64)
                 rows.append((set_id(tokens), n, int(prefix[0]), prefix))
             sid, n, least, prefix = zip(*rows) if rows else ((), (), (), ())
@@ -176,7 +173,8 @@ def _tokens(size: int):
 class _Group:
     """The opened members of one part of a group and the links found for them."""
 
-    def __init__(self) -> None:
+    def __init__(self, threshold: int) -> None:
+        self.threshold = threshold
         self.sids: list[int] = []
         self.place: dict[int, int] = {}
         self.sets: list[np.ndarray] = []
@@ -206,13 +204,13 @@ class _Group:
         low, high = np.searchsorted(keys, tokens, "left"), np.searchsorted(keys, tokens, "right")
         found = high > low
         # no member can share more than the group's token union does
-        if 100 * int(found.sum()) < THRESHOLD * len(tokens):
+        if 100 * int(found.sum()) < self.threshold * len(tokens):
             return []
         low, high = low[found], high[found]
         width = high - low
         at = np.repeat(low - np.r_[0, np.cumsum(width)[:-1]], width) + np.arange(width.sum())
         shared = np.bincount(member[at], minlength=len(sizes))
-        linked = np.flatnonzero(100 * shared >= THRESHOLD * (sizes + len(tokens) - shared))
+        linked = np.flatnonzero(100 * shared >= self.threshold * (sizes + len(tokens) - shared))
         edges = []
         for i in linked[:len(linked) if upto is None else np.searchsorted(linked, upto)].tolist():
             a, b = self.root(sid), self.root(self.sids[i])
@@ -222,33 +220,38 @@ class _Group:
         return edges
 
 
-def _open(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _opened(threshold: int):
     """Rows sorted by (gid, salt, query): first a part's members, then its queries."""
-    current, group = None, None
-    for batch in batches:
-        edges: list[tuple[int, int]] = []
-        for gid, salt, query, sid, data in zip(batch["gid"], batch["salt"], batch["query"],
-                                               batch["sid"], batch["tokens"]):
-            if (gid, salt) != current:
-                current, group = (gid, salt), _Group()
-            tokens = np.frombuffer(data, U64)
-            if not query:
-                group.add(sid, tokens)
-                continue
-            if query == 1:
-                # the members themselves once more: links inside the part
-                edges += group.links(sid, tokens, group.place[sid])
-            elif group.sids:
-                edges += group.links(sid, tokens)
-        yield pd.DataFrame(edges, columns=["src", "dst"], dtype="int64")
-
-
-def link_edges(docs: DataFrame, sets: DataFrame, size: int = SIZE) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, group = None, None
+        for batch in batches:
+            edges: list[tuple[int, int]] = []
+            for gid, salt, query, sid, data in zip(batch["gid"], batch["salt"], batch["query"],
+                                                   batch["sid"], batch["tokens"]):
+                if (gid, salt) != current:
+                    current, group = (gid, salt), _Group(threshold)
+                tokens = np.frombuffer(data, U64)
+                if not query:
+                    group.add(sid, tokens)
+                elif query == 1:
+                    # a member once more: links to the members before it
+                    edges += group.links(sid, tokens, group.place[sid])
+                elif group.sids:
+                    edges += group.links(sid, tokens)
+            yield pd.DataFrame(edges, columns=["src", "dst"], dtype="int64")
+    return run
+
+
+def link_edges(docs: DataFrame, sets: DataFrame, size: int = SIZE,
+               threshold: int = THRESHOLD) -> DataFrame:
     """Edges (src, dst) of set ids: a spanning forest per opened part of a group.
 
     ``sets`` has (sid, n, least, prefix, rep): distinct sets with the id of one
     document that holds each.
     """
+    def overlap(a: str, b: str) -> str:
+        return _least_overlap(a, b, threshold)
+
     crowd = (sets.groupBy("least").agg(F.sum("n").alias("held"), F.count("*").alias("c"))
              .where("c > 1").select(F.col("least").alias("l"), F.least(
                  F.ceil(F.col("held") / GROUP_SHINGLES), F.col("c")).alias("parts")))
@@ -265,7 +268,7 @@ def link_edges(docs: DataFrame, sets: DataFrame, size: int = SIZE) -> DataFrame:
         return (entries.where("not several").drop("several")
                 .unionByName(entries.where("several").drop("several").distinct()))
 
-    short = F.expr(f"cast(n - {_overlap_sql('n', 'n')} + 1 as int)")
+    short = F.expr(f"cast(n - {overlap('n', 'n')} + 1 as int)")
     shared = (union_of("gid", F.slice("prefix", 1, short))
               .join(union_of("qid", F.col("prefix")), "token").where("gid <> qid")
               .groupBy("gid", "qid").agg(F.count("*").alias("shared")))
@@ -273,14 +276,14 @@ def link_edges(docs: DataFrame, sets: DataFrame, size: int = SIZE) -> DataFrame:
     # 4. the bound, with the sizes m of the group and q of the query group: linked
     # sets share at least f(q, m) + 1 entries; f is 0 at m = q and at m = t * q and
     # least in a corner between them (less 1 for rounding)
-    corners = [f"{_overlap_sql(q, m)} - greatest({_overlap_sql(m, m)}, (q_hi * {THRESHOLD} + 99) div 100)"
+    corners = [f"{overlap(q, m)} - greatest({overlap(m, m)}, (q_hi * {threshold} + 99) div 100)"
                for q in ("q_lo", "q_hi") for m in ("lo", "hi")]
-    bound = F.expr(f"case when hi <= q_lo and 100 * lo >= {THRESHOLD} * q_hi "
+    bound = F.expr(f"case when hi <= q_lo and 100 * lo >= {threshold} * q_hi "
                    f"then greatest(0, least({', '.join(corners)}) - 1) else 0 end")
     large = ranges.select(F.col("gid").alias("qid"), F.col("lo").alias("q_lo"), F.col("hi").alias("q_hi"))
     opened = cut_lineage(
         shared.join(ranges, "gid").join(large, "qid")
-        .where("q_hi >= lo").where(100 * F.col("hi") >= THRESHOLD * F.col("q_lo"))
+        .where("q_hi >= lo").where(100 * F.col("hi") >= threshold * F.col("q_lo"))
         .where(F.col("shared") > bound)
         .select(F.least("gid", "qid").alias("gid"), F.greatest("gid", "qid").alias("qid")).distinct())
     per_group = opened.groupBy("gid").agg(F.count("*").alias("q"))
@@ -306,13 +309,14 @@ def link_edges(docs: DataFrame, sets: DataFrame, size: int = SIZE) -> DataFrame:
               .unionByName(pairs.join(tokens.withColumnRenamed("gid", "qid"), "qid").select(
                   "gid", "salt", F.lit(2).alias("query"), "sid", "tokens")))
     return (blocks.repartition("gid", "salt").sortWithinPartitions("gid", "salt", "query", "sid")
-            .mapInPandas(_open, "src long, dst long"))
+            .mapInPandas(_opened(threshold), "src long, dst long"))
 
 
-def near_duplicates(docs: DataFrame, size: int = SIZE) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, sid.
 
-    Documents link when 100 * intersection >= 85 * union of their shingle sets.
+    Documents link when 100 * intersection >= ``threshold`` * union of their sets of
+    ``size``-word shingles.
     ``component_id`` is the smallest doc_id reachable by links, itself included;
     null and blank texts have no shingles and are linked with nothing. Repeated
     rows of one id each get their row. A document without an id takes part under
@@ -321,11 +325,11 @@ def near_duplicates(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     frequent = frequent_shingles(docs, size)
     narrow = cut_lineage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _prefixes(frequent, size), "doc_id long, sid long, n long, least long, prefix array<long>"))
+        _prefixes(frequent, size, threshold), "doc_id long, sid long, n long, least long, prefix array<long>"))
     sets = (narrow.where("sid is not null and doc_id is not null").groupBy("sid")
             .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("least").alias("least"),
                  F.first("prefix").alias("prefix")))
-    edges = cut_lineage(link_edges(docs, sets, size))
+    edges = cut_lineage(link_edges(docs, sets, size, threshold))
     reps = sets.select("sid", "rep")
     by_rep = (edges.join(reps.select(F.col("sid").alias("src"), F.col("rep").alias("a")), "src")
               .join(reps.select(F.col("sid").alias("dst"), F.col("rep").alias("b")), "dst")
@@ -338,12 +342,13 @@ def near_duplicates(docs: DataFrame, size: int = SIZE) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), "sid"))
 
 
-def keep_one(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """One row of each group of linked documents: that of its component_id.
+def keep_one(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without near duplicates of a smaller id.
 
-    Rows without shingles stay, as do rows without an id that have no copy with
-    one; of rows that repeat an id and a set, one stays.
+    Of each group of linked documents the one of its component_id stays. Rows
+    without shingles stay, as do rows without an id, which cannot be told apart,
+    and rows that repeat the id of one that stays.
     """
-    marked = near_duplicates(docs, size)
-    kept = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    gone = (near_duplicates(docs, size, threshold).where("doc_id <> component_id")
+            .select(F.col("doc_id").alias("gone_id")).distinct())
+    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontaminate, mixing, ngram_join, quality_rules
+from contrail.llm import decontaminate, mixing, ngram_join, quality_rules, toxicity
 from contrail.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,12 @@ def op2_source_mixture(spark, folder):
                           seed=MIX_SEED, share=MIX_SHARE)
 
 
+@query
+def op5_toxicity(spark, folder):
+    return toxicity.toxicity_scores(
+        table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op6_benchmark_decontamination(spark, folder):
     return decontaminate.decontamination_report(
@@ -64,3 +70,11 @@ def op6_benchmark_decontamination(spark, folder):
 def op8_quality_rules(spark, folder):
     return quality_rules.quality_digest(
         table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def pipeline(spark, folder):
+    """All stages of the corpus pipeline; it is imported here because it uses this module."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
