@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontaminate, mixing, ngram_join, quality_rules, toxicity
+from contrail.llm import decontaminate, mixing, ngram_join, quality_rules, token_count, toxicity
 from contrail.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,14 @@ def op2_source_mixture(spark, folder):
                           seed=MIX_SEED, share=MIX_SHARE)
 
 
+@query
+def op4_token_counts(spark, folder):
+    import public_tokenizers
+
+    return token_count.token_counts(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op5_toxicity(spark, folder):
     return toxicity.toxicity_scores(
