@@ -1,12 +1,12 @@
 """Token counts from a compiled finite-state tokenizer.
 
 A byte-pair vocabulary is compiled into a deterministic transducer over byte
-symbols. A state stands for a word's beginning and knows the last token of its
-encoding; reading a symbol moves to a state whose last token is the one that ends
+symbols. A state knows the last token of what was read at each place; reading a symbol moves to a state whose last token is the one that ends
 there and may follow the token before it (two tokens may be neighbours if they
-encode to themselves side by side). Every transition is annotated with the change
-in the number of tokens, so a word's count is a walk without building tokens. States
-are made when they are first reached.
+encode to themselves side by side). Only the part that may still become a token
+belongs to the state, so states are shared between words. Every transition is annotated
+with the change in the number of tokens, so a word's count is a walk without building
+tokens. States are made when they are first reached.
 
 White space resets the machine. A text is cut into chunks of fixed size, at any
 place; a chunk is a map from what the text before it left open to a count and what
@@ -55,16 +55,22 @@ class WordTransducer:
     def __init__(self, vocab: set[str], merges: list[tuple[str, str]], end: str) -> None:
         self.vocab, self.end = vocab, end
         self.ranks = {pair: i for i, pair in enumerate(merges)}
-        self.longest = max(map(len, vocab), default=1)
+        # proper beginnings of tokens: what is read can only become one of these
+        self.beginnings = {"".join(parts[:k]) for parts in map(self.split, vocab)
+                           for k in range(1, len(parts))}
         self.symbols = byte_symbols()
         self.neighbours: dict[tuple[str | None, str], bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        # transitions by state * 256 + byte; per state its parent, the symbol read,
-        # the last token and the tokens so far
+        # what may still become part of a token: the symbols read last, and at every
+        # place among them the token that ends there and the count relative to now
+        self.states: list[tuple] = [((), (None,), (0,))]
+        self.known: dict[tuple, int] = {self.states[0]: 0}
+        # by state * 512 + byte, and 256 more for a word's last byte:
+        # the next state and the change in the number of tokens
         self.next: dict[int, int] = {}
-        self.parent, self.symbol, self.last, self.count = [-1], [""], [None], [0]
+        self.emit: dict[int, int] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The encoding by its definition: the best-ranked pair first, leftmost of equals."""
@@ -94,37 +100,48 @@ class WordTransducer:
             self.neighbours[key] = known
         return known
 
-    def step(self, state: int, symbol: str) -> tuple[str, int]:
-        """The token that ends with ``symbol`` after ``state`` and the count with it."""
-        token, at = symbol, state
-        found = None
-        for _ in range(self.longest):
-            if token in self.vocab and self.may_follow(self.last[at], token):
-                found = token, self.count[at] + 1
+    def compile(self, key: int) -> None:
+        """Add the transition of a state and a byte."""
+        state, code = divmod(key, 512)
+        symbol = self.symbols[code % 256] + (self.end if code >= 256 else "")
+        window, last, count = self.states[state]
+        token, emitted = symbol, None
+        for at in range(len(window), -1, -1):
+            if token in self.vocab and self.may_follow(last[at], token):
+                emitted = count[at] + 1
                 break
-            if at == 0:
-                break
-            token, at = self.symbol[at] + token, self.parent[at]
-        # a symbol outside the vocabulary stands alone
-        return found or (symbol, self.count[state] + 1)
+            if at:
+                token = window[at - 1] + token
+        if emitted is None:
+            # a symbol outside the vocabulary stands alone
+            token, emitted = symbol, 1
+        self.emit[key] = emitted
+        if code >= 256:
+            return
+        window, last, count = (*window, symbol), (*last, token), (*(c - emitted for c in count), 0)
+        first = 0
+        while first < len(window) and "".join(window[first:]) not in self.beginnings:
+            first += 1
+        found = (window[first:], last[first:], count[first:])
+        self.next[key] = self.known.setdefault(found, len(self.states))
+        if self.next[key] == len(self.states):
+            self.states.append(found)
 
     def tokens(self, word: bytes) -> int:
         """Number of tokens of one word."""
-        state = 0
-        for byte in word[:-1]:
-            after = self.next.get(state * 256 + byte)
-            if after is None:
-                last, count = self.step(state, self.symbols[byte])
-                after = self.next[state * 256 + byte] = len(self.parent)
-                self.parent.append(state)
-                self.symbol.append(self.symbols[byte])
-                self.last.append(last)
-                self.count.append(count)
-            state = after
-        total = self.step(state, self.symbols[word[-1]] + self.end)[1]
-        if len(self.parent) > MAX_STATES:
+        if len(self.states) > MAX_STATES or len(self.emit) > 4 * MAX_STATES:
             self.reset()
-        return total
+        state, total, moves = 0, 0, self.next
+        for byte in word[:-1]:
+            key = state * 512 + byte
+            if key not in moves:
+                self.compile(key)
+            state = moves[key]
+            total += self.emit[key]
+        key = state * 512 + 256 + word[-1]
+        if key not in self.emit:
+            self.compile(key)
+        return total + self.emit[key]
 
 
 class ChunkMap(NamedTuple):
@@ -177,6 +194,8 @@ class Tokenizer:
 
     def span(self, span: str) -> int:
         """Tokens of a text without white space."""
+        if span.isascii() and span.isalpha():
+            return self.words.tokens(span.lower().encode())
         parts = self.special.split(span) if self.special else [span]
         return len(parts) - 1 + sum(self.plain(p) for p in parts if p)
 
