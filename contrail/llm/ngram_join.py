@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm.shingles import U64, WordHashes, set_id, shingle_set
@@ -44,15 +44,15 @@ THRESHOLD = 85
 # shingles that are ordered last: at most so many, each in so many texts at least
 FREQUENT = 131_072
 FREQUENT_FROM = 8
-# bits of a shingle hash that tell shingles apart when they are counted
-COUNT_BITS = 40
 # hashes a task gathers before it deals out their counts
-COUNT_BUFFER = 4_000_000
+COUNT_BUFFER = 6_000_000
 # shingles in one part of a group; query groups that one task compares with it
 GROUP_SHINGLES = 65_536
 GROUP_QUERIES = 64
-# needed ids up to this number are broadcast (8 bytes each), beyond it shuffled
-BROADCAST_IDS = 1_000_000
+# places of one set that are listed in one row
+ROLES = 1_000
+# roles up to this number are broadcast (about 40 bytes each), beyond it shuffled
+BROADCAST_ROLES = 500_000
 
 
 def query_prefix(n: int, threshold: int) -> int:
@@ -78,11 +78,11 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(kind), dtype=kind)
 
 
-def _dealt_counts(size: int, ranges: int):
-    bounds = (np.arange(1, ranges, dtype=np.float64) * (2.0 ** COUNT_BITS / ranges)).astype(U64)
+def _dealt_counts(size: int, ranges: int, bits: int):
+    bounds = (np.arange(1, ranges, dtype=np.float64) * (2.0 ** bits / ranges)).astype(U64)
 
     def flush(parts: list[np.ndarray]) -> pd.DataFrame:
-        values, counts = np.unique(np.concatenate(parts) >> U64(64 - COUNT_BITS), return_counts=True)
+        values, counts = np.unique(np.concatenate(parts) >> U64(64 - bits), return_counts=True)
         cuts = [0, *np.searchsorted(values, bounds).tolist(), len(values)]
         rows = [(r, _pack(values[a:b]), zlib.compress(counts[a:b].astype(np.uint32).tobytes(), 1))
                 for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
@@ -114,23 +114,29 @@ def _merged_counts(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": keys[starts][common].astype(np.int64), "n": totals[common]})
 
 
-def frequent_shingles(docs: DataFrame, size: int = SIZE) -> np.ndarray:
-    """The leading COUNT_BITS bits of the most frequent shingles, sorted."""
-    ranges = max(64, docs.count() // 2048)
-    top = (docs.select("text").mapInPandas(_dealt_counts(size, ranges),
+def frequent_shingles(docs: DataFrame, size: int = SIZE) -> tuple[np.ndarray, int]:
+    """The leading bits of the most frequent shingles, sorted, and how many bits.
+
+    Shingles are told apart by so many bits that about one in 32 shares them with
+    another one; that can only move a shingle in the order.
+    """
+    n_docs = docs.count()
+    ranges = max(64, n_docs // 2048)
+    bits = min(60, max(24, (512 * n_docs).bit_length() + 5))
+    top = (docs.select("text").mapInPandas(_dealt_counts(size, ranges, bits),
                                            "part long, keys binary, counts binary")
            .groupBy("part").applyInPandas(_merged_counts, "key long, n long")
            .orderBy(F.desc("n"), "key").limit(FREQUENT).select("key").toPandas())
-    return np.sort(top["key"].to_numpy(dtype=np.int64)).astype(U64)
+    return np.sort(top["key"].to_numpy(dtype=np.int64)).astype(U64), bits
 
 
 # --- 2. sets -------------------------------------------------------------
 
-def _prefixes(frequent: np.ndarray, size: int, threshold: int):
+def _prefixes(frequent: np.ndarray, bits: int, size: int, threshold: int):
     def is_frequent(tokens: np.ndarray) -> np.ndarray:
         if not len(frequent):
             return np.zeros(len(tokens), bool)
-        keys = tokens >> U64(64 - COUNT_BITS)
+        keys = tokens >> U64(64 - bits)
         at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
         return frequent[at] == keys
 
@@ -161,13 +167,13 @@ def _prefixes(frequent: np.ndarray, size: int, threshold: int):
 
 # --- 5. opened groups ----------------------------------------------------
 
-def _tokens(size: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _tokens(size: int, text: str) -> Column:
+    @F.pandas_udf("binary")
+    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         hashes = WordHashes()
-        for batch in batches:
-            yield pd.DataFrame({"sid": batch["sid"], "tokens": [
-                shingle_set(t, size, hashes).tobytes() for t in batch["text"]]})
-    return run
+        for texts in batches:
+            yield pd.Series([shingle_set(t, size, hashes).tobytes() for t in texts], dtype=object)
+    return tokens(text)
 
 
 class _Group:
@@ -176,13 +182,11 @@ class _Group:
     def __init__(self, threshold: int) -> None:
         self.threshold = threshold
         self.sids: list[int] = []
-        self.place: dict[int, int] = {}
         self.sets: list[np.ndarray] = []
         self.parent: dict[int, int] = {}
         self.table = None
 
     def add(self, sid: int, tokens: np.ndarray) -> None:
-        self.place[sid] = len(self.sids)
         self.sids.append(sid)
         self.sets.append(tokens)
 
@@ -222,6 +226,12 @@ class _Group:
 
 def _opened(threshold: int):
     """Rows sorted by (gid, salt, query): first a part's members, then its queries."""
+    def inside(key: tuple[int, int] | None, group: _Group | None) -> list[tuple[int, int]]:
+        # links between members are found once, where the salt is 0
+        if group is None or key[1]:
+            return []
+        return [e for i in range(1, len(group.sids)) for e in group.links(group.sids[i], group.sets[i], i)]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, group = None, None
         for batch in batches:
@@ -229,25 +239,24 @@ def _opened(threshold: int):
             for gid, salt, query, sid, data in zip(batch["gid"], batch["salt"], batch["query"],
                                                    batch["sid"], batch["tokens"]):
                 if (gid, salt) != current:
+                    edges += inside(current, group)
                     current, group = (gid, salt), _Group(threshold)
                 tokens = np.frombuffer(data, U64)
                 if not query:
                     group.add(sid, tokens)
-                elif query == 1:
-                    # a member once more: links to the members before it
-                    edges += group.links(sid, tokens, group.place[sid])
                 elif group.sids:
                     edges += group.links(sid, tokens)
             yield pd.DataFrame(edges, columns=["src", "dst"], dtype="int64")
+        yield pd.DataFrame(inside(current, group), columns=["src", "dst"], dtype="int64")
     return run
 
 
-def link_edges(docs: DataFrame, sets: DataFrame, size: int = SIZE,
+def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int = SIZE,
                threshold: int = THRESHOLD) -> DataFrame:
     """Edges (src, dst) of set ids: a spanning forest per opened part of a group.
 
-    ``sets`` has (sid, n, least, prefix, rep): distinct sets with the id of one
-    document that holds each.
+    ``narrow`` has (doc_id, sid, prefix) of every document, ``sets`` has
+    (sid, n, least, rep): distinct sets with the id of one document that holds each.
     """
     def overlap(a: str, b: str) -> str:
         return _least_overlap(a, b, threshold)
@@ -255,22 +264,30 @@ def link_edges(docs: DataFrame, sets: DataFrame, size: int = SIZE,
     crowd = (sets.groupBy("least").agg(F.sum("n").alias("held"), F.count("*").alias("c"))
              .where("c > 1").select(F.col("least").alias("l"), F.least(
                  F.ceil(F.col("held") / GROUP_SHINGLES), F.col("c")).alias("parts")))
-    grouped = cut_lineage(
-        sets.join(crowd, F.col("least") == F.col("l"), "left")
-        .withColumn("gid", F.xxhash64("least", F.pmod(F.xxhash64("sid"), F.coalesce("parts", F.lit(1)))))
-        .select("sid", "n", "gid", "rep", "prefix", F.col("parts").isNotNull().alias("several")))
+    # the last bit of a group's id is free to mark an entry of the matrix
+    gid = F.xxhash64("least", F.pmod(F.xxhash64("sid"), F.coalesce("parts", F.lit(1)))).bitwiseAND(-2)
+    grouped = cut_lineage(sets.join(crowd, F.col("least") == F.col("l"), "left")
+                          .select("sid", "n", gid.alias("gid"), "rep",
+                                  F.col("parts").isNotNull().alias("several")))
     ranges = cut_lineage(grouped.groupBy("gid").agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("members")))
 
-    # 3. the matrix: a group's token union, and the shorter one it is indexed by
-    def union_of(gid: str, tokens: Column) -> DataFrame:
-        entries = grouped.select(F.col("gid").alias(gid), F.explode(tokens).alias("token"), "several")
-        return (entries.where("not several").drop("several")
-                .unionByName(entries.where("several").drop("several").distinct()))
-
-    short = F.expr(f"cast(n - {overlap('n', 'n')} + 1 as int)")
-    shared = (union_of("gid", F.slice("prefix", 1, short))
-              .join(union_of("qid", F.col("prefix")), "token").where("gid <> qid")
+    # 3. entries (token, group) of the token unions; odd ones are in the shorter
+    # prefix as well and make the matrix, all of them together are the queries
+    short = F.expr(f"n - {overlap('n', 'n')} + 1")
+    prefixes = grouped.join(narrow.select("doc_id", F.col("sid").alias("s"), "prefix"),
+                            (F.col("rep") == F.col("doc_id")) & (F.col("sid") == F.col("s")))
+    placed = prefixes.select("gid", "several", short.alias("short"), F.posexplode("prefix").alias("at", "token"))
+    entry = F.col("gid").bitwiseOR((F.col("at") < F.col("short")).cast("long"))
+    entries = placed.select("token", entry.alias("entry"), "several")
+    entries = (entries.where("not several").drop("several")
+               .unionByName(entries.where("several").drop("several").distinct()))
+    # both sides are the same rows, so they are shuffled once; a condition on one
+    # side alone would be moved below the shuffle
+    shared = (entries.alias("m").join(entries.alias("q"), "token")
+              .where("case when m.entry & 1 = 1 then m.entry | 1 <> q.entry | 1 else false end")
+              .select(F.col("m.entry").bitwiseAND(-2).alias("gid"),
+                      F.col("q.entry").bitwiseAND(-2).alias("qid"))
               .groupBy("gid", "qid").agg(F.count("*").alias("shared")))
 
     # 4. the bound, with the sizes m of the group and q of the query group: linked
@@ -292,23 +309,26 @@ def link_edges(docs: DataFrame, sets: DataFrame, size: int = SIZE,
         "cast(pmod(xxhash64(qid), salts) as int)")).select("gid", "qid", "salt")
     pairs = cut_lineage(pairs)
 
-    # 5. texts of the members of opened groups only
-    inner = ranges.where("members > 1").select("gid")
-    needed = inner.union(opened.select("gid")).union(opened.select("qid")).distinct()
-    members = cut_lineage(grouped.join(needed, "gid").select("gid", "sid", "rep"))
-    wanted = members.select("rep", "sid")
-    if members.count() <= BROADCAST_IDS:
+    # 5. who is compared where: members with their own part, queries with others
+    inner = ranges.where("members > 1").select("gid", F.lit(0).alias("salt"))
+    own = pairs.select("gid", "salt").union(inner).distinct()
+    members = grouped.select("gid", "sid", "rep")
+    roles = cut_lineage(
+        own.join(members, "gid").select("gid", "salt", F.lit(0).alias("query"), "sid", "rep")
+        .unionByName(pairs.join(members.withColumnRenamed("gid", "qid"), "qid")
+                     .select("gid", "salt", F.lit(1).alias("query"), "sid", "rep")))
+    # only texts with a role are read again, once for up to ROLES places
+    per_set = Window.partitionBy("rep", "sid")
+    wanted = (roles.withColumn("lists", F.ceil(F.count("*").over(per_set) / ROLES))
+              .groupBy("rep", "sid", F.pmod(F.xxhash64("gid", "salt"), F.col("lists")).alias("part"))
+              .agg(F.collect_list(F.struct("gid", "salt", "query")).alias("places")).drop("part"))
+    if roles.count() <= BROADCAST_ROLES:
         wanted = F.broadcast(wanted)
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"))
-    tokens = cut_lineage(texts.select("sid", "text").mapInPandas(_tokens(size), "sid long, tokens binary")
-                         .dropDuplicates(["sid"]).join(members.select("sid", "gid"), "sid"))
-    own = pairs.select("gid", "salt").distinct().union(inner.withColumn("salt", F.lit(0))).distinct()
-    blocks = (own.join(tokens, "gid").select("gid", "salt", F.lit(0).alias("query"), "sid", "tokens")
-              .unionByName(inner.join(tokens, "gid").select(
-                  "gid", F.lit(0).alias("salt"), F.lit(1).alias("query"), "sid", "tokens"))
-              .unionByName(pairs.join(tokens.withColumnRenamed("gid", "qid"), "qid").select(
-                  "gid", "salt", F.lit(2).alias("query"), "sid", "tokens")))
+    blocks = (docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"))
+              .select("sid", "places", _tokens(size, "text").alias("tokens"))
+              .select("sid", "tokens", F.inline("places")))
     return (blocks.repartition("gid", "salt").sortWithinPartitions("gid", "salt", "query", "sid")
+            .select("gid", "salt", "query", "sid", "tokens")
             .mapInPandas(_opened(threshold), "src long, dst long"))
 
 
@@ -323,13 +343,13 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOL
     the ids of its copies and gets its own null as component if it has none.
     An empty table gives an empty result; other columns are ignored.
     """
-    frequent = frequent_shingles(docs, size)
+    frequent, bits = frequent_shingles(docs, size)
     narrow = cut_lineage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _prefixes(frequent, size, threshold), "doc_id long, sid long, n long, least long, prefix array<long>"))
+        _prefixes(frequent, bits, size, threshold), "doc_id long, sid long, n long, least long, prefix array<long>"))
     sets = (narrow.where("sid is not null and doc_id is not null").groupBy("sid")
-            .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("least").alias("least"),
-                 F.first("prefix").alias("prefix")))
-    edges = cut_lineage(link_edges(docs, sets, size, threshold))
+            .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("least").alias("least")))
+    sets = cut_lineage(sets)
+    edges = cut_lineage(link_edges(docs, narrow, sets, size, threshold))
     reps = sets.select("sid", "rep")
     by_rep = (edges.join(reps.select(F.col("sid").alias("src"), F.col("rep").alias("a")), "src")
               .join(reps.select(F.col("sid").alias("dst"), F.col("rep").alias("b")), "dst")
