@@ -134,9 +134,25 @@ from o where start < budget
 """
 
 
+def op10() -> str:
+    # base32: every five hexadecimal digits are four letters
+    letters = " || ".join(
+        f"'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((('0x' || h[{i * 5 + 1}:{i * 5 + 5}])::int >> {s}) & 31)]"
+        for i in range(8) for s in (15, 10, 5, 0))
+    return f"""
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+m as (select h, max(page_id) as first_id from p group by h)
+select page_id, cast(strlen(html) as bigint) as payload_bytes, {letters} as payload_digest,
+       case when page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id <> first_id then first_id end as refers_to
+from p join m using (h)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixture": op2(),
         "op6_benchmark_decontamination": op6(),
         "op8_quality_rules": op8(),
+        "op10_warc_zip": op10(),
     }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontaminate, mixing, ngram_join, quality_rules, token_count, toxicity
+from contrail.llm import (decontaminate, language_id, mixing, ngram_join, quality_rules, token_count,
+                          toxicity, warc_zip)
 from contrail.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +81,16 @@ def op8_quality_rules(spark, folder):
         table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op9_language_id(spark, folder):
+    return language_id.languages(table(spark, folder, "documents"))
+
+
+@query
+def op10_warc_zip(spark, folder):
+    return warc_zip.archive_digest(table(spark, folder, "pages"))
+
+
 @query
 def pipeline(spark, folder):
     """All stages of the corpus pipeline; it is imported here because it uses this module."""
