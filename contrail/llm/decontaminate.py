@@ -176,5 +176,5 @@ def contaminated_ids(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with their own columns."""
     found = contaminated_ids(docs, benchmark)
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("c_id"))
-                     & (F.xxhash64("text") == F.col("c_th")), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["c_id"])
+                     & (F.xxhash64(docs["text"]) == found["c_th"]), "left_anti")

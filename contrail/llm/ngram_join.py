@@ -371,4 +371,4 @@ def keep_one(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> D
     """
     gone = (near_duplicates(docs, size, threshold).where("doc_id <> component_id")
             .select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

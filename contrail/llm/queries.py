@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import (decontaminate, language_id, mixing, ngram_join, quality_rules, token_count,
-                          toxicity, warc_zip)
+from contrail.llm import (decontaminate, html_cut, language_id, license_scan, mixing, ngram_join,
+                          quality_rules, token_count, toxicity, warc_zip)
 from contrail.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def op2_source_mixture(spark, folder):
                           seed=MIX_SEED, share=MIX_SHARE)
 
 
+@query
+def op3_license_scan(spark, folder):
+    return license_scan.license_report(table(spark, folder, "documents"))
+
+
 @query
 def op4_token_counts(spark, folder):
     import public_tokenizers
@@ -75,6 +80,11 @@ def op6_benchmark_decontamination(spark, folder):
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op7_html_extraction(spark, folder):
+    return html_cut.extract(table(spark, folder, "pages"))
+
+
 @query
 def op8_quality_rules(spark, folder):
     return quality_rules.quality_digest(
