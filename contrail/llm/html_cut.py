@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 SAMPLE_PAGES = 400
 SEED = 5
 ADJACENT, SIBLING = 0.6, 1.2
+# between blocks of which one only is inside a boilerplate element
+CONTRAST = 0.25
 
 # Elements and name parts of HTML pages.
 SKIPPED = {"script", "style", "noscript", "template", "svg", "canvas", "iframe", "object", "head",
@@ -185,7 +187,7 @@ def blocks_of(page: str) -> list[Block]:
 # --- costs ---------------------------------------------------------------
 
 # bias, words (log), share of linked text, sentence end, paragraph, heading, item, hints
-INITIAL = np.array([-1.2, 0.6, -3.0, 0.6, 1.0, 0.5, -0.8, -4.0, 3.0])
+INITIAL = np.array([-1.2, 0.6, -3.0, 0.6, 1.0, 0.5, -0.8, -8.0, 3.0])
 
 
 def features(b: Block) -> list[float]:
@@ -224,6 +226,8 @@ def connect(blocks: list[Block]) -> None:
 
 
 def _edge(blocks: list[Block], a: int, b: int, capacity: float) -> None:
+    if bool(blocks[a].boilerplate) != bool(blocks[b].boilerplate):
+        capacity *= CONTRAST
     blocks[a].edges[b] = blocks[a].edges.get(b, 0.0) + capacity
     blocks[b].edges[a] = blocks[b].edges.get(a, 0.0) + capacity
 

@@ -65,7 +65,8 @@ def grams(codes: np.ndarray) -> Iterator[np.ndarray]:
         inner = np.ones(count, bool)
         for k in range(1, n - 1):
             inner &= padded[k:k + count] > 0
-        inner &= (padded[:count] > 0) | (padded[n - 1:n - 1 + count] > 0)
+        if n == 2:
+            inner &= (padded[:count] > 0) | (padded[1:] > 0)
         at = np.flatnonzero(inner)
         h = np.full(len(at), np.uint64(n))
         for k in range(n):
