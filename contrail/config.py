@@ -22,7 +22,8 @@ class Settings:
     pagerank_alpha: float = 0.85
     pagerank_tol: float = 1e-6
     pagerank_max_iter: int = 100
-    betweenness_sources: int = 100
+    # exact unless a number of sources asks for an approximation
+    betweenness_sources: int | None = None
     betweenness_seed: int = 42
     # catalog layout
     raw_schema: str = "raw"

@@ -43,7 +43,7 @@ def enrich_flights(flights: DataFrame, airports: DataFrame, ranges: DataFrame) -
     military = ranges.select("range_start", "range_end",
                              F.col("country_code").alias("military_country"),
                              "military_branch")
-    joined = rng.range_classify_bucketed(with_airports(flights, airports), military)
+    joined = rng.range_classify(with_airports(flights, airports), military)
     seen = F.col("first_seen_at")
     return joined.select(
         "flight_id", "icao24", "callsign", "first_seen_at", "last_seen_at",

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from contrail.config import Settings
 from contrail.functions import numeric
-from contrail.session import cut_lineage
+from contrail.session import cut_lineage, discard
 
 # Steps chained per job: fewer jobs against longer plans.
 STEPS_PER_JOB = 5
-# Decimals at which two scores count as equal when ranked (summation noise is below).
-RANK_DIGITS = 12
+# Decimals at which two scores, scaled to a mean of 1, count as equal when ranked.
+RANK_DIGITS = 9
+# (source, node) rows that betweenness works on at a time, about.
+STATE_ROWS = 20_000_000
 
 
 # --- edges and nodes -----------------------------------------------------
@@ -94,7 +96,8 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float | None = 1e-6,
     the steps are made without it and the job's result is corrected by multiples
     of T^j u, whose factors follow from sums over the stored columns.
     """
-    out = edges.groupBy("src").agg(F.sum("weight").alias("out_weight"))
+    # written sums have a known size and let adaptive execution split a hub's edges
+    out = cut_lineage(edges.groupBy("src").agg(F.sum("weight").alias("out_weight")))
     start = cut_lineage(
         nodes(edges).join(out, F.col("id") == F.col("src"), "left")
         .select("id", F.col("out_weight").isNull().cast("double").alias("dangling")))
@@ -110,6 +113,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float | None = 1e-6,
 
     # columns: q0..qn the scores after 0..n steps, even0.. the vectors T^j u
     state = start.withColumn("q0", F.lit(1.0 / count))
+    written = start
     carried = ["dangling"] if dangling else []
     done = 0
     while done < max_iter:
@@ -121,7 +125,9 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, tol: float | None = 1e-6,
                      .groupBy(F.col("dst").alias("id"))
                      .agg(*[F.sum(F.col("stay") * F.col(c)).alias(c) for c in kept],
                           moved.alias(f"q{k + 1}")))
-        state = cut_lineage(state)
+        before, state = written, cut_lineage(state)
+        written = state
+        discard(before)
         scores = [F.col(f"q{k}") for k in range(steps + 1)]
         if dangling:
             if done == 0:
@@ -188,7 +194,9 @@ def component_roots(edges: DataFrame) -> DataFrame:
     if linked.isEmpty():
         return nodes(edges).select("id", F.col("id").alias("root"))
     while True:
-        linked = cut_lineage(_small_star(_large_star(linked)))
+        before, wide = linked, cut_lineage(_large_star(linked))
+        linked = cut_lineage(_small_star(wide))
+        discard(before, wide)
         if _is_forest_of_stars(linked):
             break
     return (nodes(edges).join(linked, F.col("id") == F.col("high"), "left")
@@ -201,14 +209,16 @@ def _large_star(linked: DataFrame) -> DataFrame:
         F.struct(F.col("high").alias("node"), F.col("low").alias("other")),
         F.struct(F.col("low").alias("node"), F.col("high").alias("other")))).alias("e")
     ).select("e.*")
-    smallest = both.groupBy("node").agg(F.least("node", F.min("other")).alias("target"))
+    # written before it is joined back, so that a hub's rows can be split
+    smallest = cut_lineage(
+        both.groupBy("node").agg(F.least("node", F.min("other")).alias("target")))
     return (both.filter(F.col("other") > F.col("node")).join(smallest, "node")
             .select(F.col("other").alias("high"), F.col("target").alias("low")).distinct())
 
 
 def _small_star(linked: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
-    smallest = linked.groupBy("high").agg(F.min("low").alias("target"))
+    smallest = cut_lineage(linked.groupBy("high").agg(F.min("low").alias("target")))
     moved = (linked.join(smallest, "high").filter(F.col("low") != F.col("target"))
              .select(F.col("low").alias("high"), F.col("target").alias("low")))
     return moved.unionByName(smallest.withColumnRenamed("target", "low")).distinct()
@@ -285,7 +295,7 @@ def clustering(edges: DataFrame) -> DataFrame:
 # --- betweenness ---------------------------------------------------------
 
 def betweenness_sources(all_nodes: DataFrame, k: int, seed: int) -> DataFrame:
-    """All nodes up to ``k``, beyond that a sample in the order of a seeded hash."""
+    """``k`` nodes in the order of a seeded hash, for an approximation."""
     return (all_nodes.orderBy(F.xxhash64(F.lit(seed), F.col("id")), F.col("id"))
             .limit(k).select(F.col("id").alias("source")))
 
@@ -293,8 +303,9 @@ def betweenness_sources(all_nodes: DataFrame, k: int, seed: int) -> DataFrame:
 def shortest_distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Length of the shortest path from each source to each node it reaches.
 
-    Distances are relaxed until the last step of a job changes none of them;
-    extra steps change nothing, so steps can be chained freely.
+    Rows that the last step improved are the frontier: they alone go along edges,
+    settled rows only meet their own "stay" row. Distances are relaxed until the
+    frontier is empty; extra steps change nothing, so steps can be chained freely.
     """
     stays = nodes(edges).select(F.col("id").alias("src"), F.col("id").alias("dst"),
                                 F.lit(0).cast("bigint").alias("cost"), F.lit(True).alias("stay"))
@@ -302,19 +313,29 @@ def shortest_distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
         edges.select("src", "dst", F.col("weight").alias("cost"), F.lit(False).alias("stay"))
         .unionByName(stays))
     state = sources.select("source", F.col("source").alias("node"),
-                           F.lit(0).cast("bigint").alias("distance"))
+                           F.lit(0).cast("bigint").alias("distance"), F.lit(True).alias("moving"))
     while True:
+        before = state
         for _ in range(STEPS_PER_JOB):
-            state = (state.join(hops, F.col("node") == F.col("src"))
-                     .groupBy("source", F.col("dst").alias("node"))
-                     .agg(F.min(F.col("distance") + F.col("cost")).alias("distance"),
-                          F.max(F.when(F.col("stay"), F.col("distance"))).alias("before")))
+            state = (_on_the_move(state, "moving").join(
+                hops, (F.col("node") == F.col("src")) & (F.col("goes") != F.col("stay")))
+                .groupBy("source", F.col("dst").alias("node"))
+                .agg(F.min(F.col("distance") + F.col("cost")).alias("distance"),
+                     F.max(F.when(F.col("stay"), F.col("distance"))).alias("known"))
+                .select("source", "node", "distance",
+                        (F.col("known").isNull() | (F.col("known") != F.col("distance")))
+                        .alias("moving")))
         state = cut_lineage(state)
-        moved = state.filter(F.col("before").isNull()
-                             | (F.col("before") != F.col("distance")))
-        state = state.select("source", "node", "distance")
-        if moved.isEmpty():
-            return state
+        discard(before)
+        if state.filter("moving").isEmpty():
+            discard(hops)
+            return state.select("source", "node", "distance")
+
+
+def _on_the_move(state: DataFrame, moving: str) -> DataFrame:
+    """Every row once for its stay, and once more if it goes along edges."""
+    once, twice = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
+    return state.withColumn("goes", F.explode(F.when(F.col(moving), twice).otherwise(once)))
 
 
 def path_sums(start: DataFrame, hops: DataFrame) -> DataFrame:
@@ -322,7 +343,8 @@ def path_sums(start: DataFrame, hops: DataFrame) -> DataFrame:
 
     ``start`` holds (source, node, value) for every node in reach and ``hops``
     the acyclic (source, src, dst) steps. Values move one hop per step and what
-    arrives is added up; the wave dies out because paths are finite.
+    arrives is added up; only rows with a wave go along hops, and the wave dies
+    out because paths are finite.
     """
     stays = start.select("source", F.col("node").alias("src"), F.col("node").alias("dst"),
                          F.lit(True).alias("stay"))
@@ -331,27 +353,58 @@ def path_sums(start: DataFrame, hops: DataFrame) -> DataFrame:
     state = start.select("source", "node", F.col("value").alias("wave"),
                          F.lit(0.0).alias("total"))
     while True:
+        before = state
         for _ in range(STEPS_PER_JOB):
             moved = F.sum(F.when(~F.col("stay"), F.col("wave")).otherwise(F.lit(0.0)))
             kept = F.sum(F.when(F.col("stay"), F.col("total")).otherwise(F.lit(0.0)))
-            state = (state.withColumnRenamed("node", "src").join(hops, ["source", "src"])
+            going = _on_the_move(state.withColumn("moving", F.col("wave") > 0), "moving")
+            pairs = hops.select(F.col("source").alias("of"), "src", "dst", "stay")
+            state = (going.join(pairs, (F.col("source") == F.col("of")) & (F.col("node") == F.col("src"))
+                                & (F.col("goes") != F.col("stay")))
                      .groupBy("source", F.col("dst").alias("node"))
                      .agg(moved.alias("wave"), (kept + moved).alias("total")))
         state = cut_lineage(state)
+        discard(before)
         if state.filter(F.col("wave") > 0).isEmpty():
+            discard(hops)
             return state.select("source", "node", "total")
 
 
-def betweenness(edges: DataFrame, k: int = 100, seed: int = 42) -> DataFrame:
+def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
+                state_rows: int = STATE_ROWS) -> DataFrame:
     """Share of shortest paths through each node, weights taken as lengths.
 
-    The state is (source, node): at most ``k`` rows per node. With more nodes
-    than ``k`` the sampled sum is scaled up by their ratio.
+    Exact at any size. The state is (source, node), so sources are worked in
+    batches of about ``state_rows`` such rows and the batches' sums added up.
+    A number of ``sources`` asks for an approximation from so many nodes, scaled
+    up by their share. Weights have to be positive.
     """
+    if not edges.filter(~(F.col("weight") > 0)).isEmpty():
+        raise ValueError("betweenness needs positive weights")
     all_nodes = nodes(edges)
     count = all_nodes.count()
-    reach = shortest_distances(edges, betweenness_sources(all_nodes, k, seed))
+    chosen = (all_nodes.select(F.col("id").alias("source")) if sources is None
+              else betweenness_sources(all_nodes, sources, seed))
+    used = count if sources is None else min(sources, count)
+    batches = max(1, -(-used * count // state_rows))
+    through = []
+    for batch in range(batches):
+        part = chosen.filter(F.pmod(F.xxhash64("source"), F.lit(batches)) == batch)
+        through.append(cut_lineage(_through_nodes(edges, part)))
+    scale = count / max(used, 1)
+    if count > 2:
+        scale /= (count - 1) * (count - 2)
+    total = through[0]
+    for part in through[1:]:
+        total = total.unionByName(part)
+    total = total.groupBy("id").agg((F.sum("through") * F.lit(scale)).alias("through"))
+    return all_nodes.join(total, "id", "left").select(
+        "id", F.coalesce("through", F.lit(0.0)).alias("betweenness"))
+
 
+def _through_nodes(edges: DataFrame, sources: DataFrame) -> DataFrame:
+    """Dependencies of the given sources on every node, summed up."""
+    reach = shortest_distances(edges, sources)
     near = reach.select("source", F.col("node").alias("src"), F.col("distance").alias("near"))
     far = reach.select("source", F.col("node").alias("dst"), F.col("distance").alias("far"))
     tight = cut_lineage(
@@ -370,18 +423,10 @@ def betweenness(edges: DataFrame, k: int = 100, seed: int = 42) -> DataFrame:
     backward = tight.select("source", F.col("dst").alias("src"), F.col("src").alias("dst"))
     inverse = paths.select("source", "node", (F.lit(1.0) / F.col("paths")).alias("value"))
     shares = path_sums(inverse, backward)
-
-    scale = 1.0
-    if count > 2:
-        scale = 1.0 / ((count - 1) * (count - 2))
-        if k < count:
-            scale *= count / k
-    through = (paths.join(shares, ["source", "node"])
-               .filter(F.col("node") != F.col("source"))
-               .groupBy(F.col("node").alias("id"))
-               .agg((F.sum(F.col("paths") * F.col("total")) * F.lit(scale)).alias("through")))
-    return all_nodes.join(through, "id", "left").select(
-        "id", F.coalesce("through", F.lit(0.0)).alias("betweenness"))
+    return (paths.join(shares, ["source", "node"])
+            .filter(F.col("node") != F.col("source"))
+            .groupBy(F.col("node").alias("id"))
+            .agg(F.sum(F.col("paths") * F.col("total")).alias("through")))
 
 
 # --- the assembled table -------------------------------------------------
@@ -398,7 +443,7 @@ def airport_graph(connections: DataFrame, settings: Settings = Settings()) -> Da
         .join(clustering(edges), "id", "left")
         .join(components(edges), "id"))
     ranked = number_rows(merged, "hub_rank",
-                         numeric.sql_round(F.col("pagerank"), RANK_DIGITS).desc(), F.col("id"))
+                         numeric.sql_round(F.col("pagerank") * node_count, RANK_DIGITS).desc(), F.col("id"))
     return ranked.select(
         F.col("id").alias("airport_id"),
         numeric.even_round(F.col("pagerank"), 6).alias("pagerank_score"),

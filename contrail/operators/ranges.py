@@ -10,33 +10,16 @@ BUCKET_DIGITS = 3
 BUCKETS = 16 ** BUCKET_DIGITS
 ANY_BUCKET = "*"
 
-# A nested loop compares every row with every range, so it is kept to tables
-# that are small by count and, as the rows are short, by bytes.
-NESTED_LOOP_MAX_RANGES = 1000
 
-
-def range_classify(df: DataFrame, ranges: DataFrame, key: str = "icao24",
-                   max_ranges: int = NESTED_LOOP_MAX_RANGES) -> DataFrame:
+def range_classify(df: DataFrame, ranges: DataFrame, key: str = "icao24") -> DataFrame:
     """Left join on ``range_start <= key <= range_end``; overlaps multiply rows.
 
-    The broadcast is preceded by a count of the ranges (which stops at the
-    bound); a longer table takes the bucketed equi join.
-    """
-    if ranges.limit(max_ranges + 1).count() > max_ranges:
-        return range_classify_bucketed(df, ranges, key)
-    return df.join(
-        F.broadcast(ranges),
-        (df[key] >= ranges["range_start"]) & (df[key] <= ranges["range_end"]), "left")
-
-
-def range_classify_bucketed(df: DataFrame, ranges: DataFrame,
-                            key: str = "icao24") -> DataFrame:
-    """The same rows by an equi join on a key prefix plus the range condition.
+    An equi join on a key prefix plus the range condition.
 
     A key whose prefix is hex can only lie in a range whose start and end prefix
     enclose it, and for lower-case hex text order is number order, so a range is
-    listed once per prefix it touches. Any other key meets every range in one
-    extra bucket, which keeps text comparison exact for arbitrary keys. Being an
+    listed once per prefix it touches. A null key is in no bucket; any other key
+    meets every range in one extra bucket, which keeps text comparison exact for arbitrary keys. Being an
     equi join, it is broadcast when the range table is small enough for the
     session's threshold and is otherwise shuffled, where adaptive execution
     splits a bucket that holds much of the data.
@@ -54,7 +37,7 @@ def range_classify_bucketed(df: DataFrame, ranges: DataFrame,
 
 def key_bucket(key: Column) -> Column:
     prefix = F.substring(key, 1, BUCKET_DIGITS)
-    return F.when(_is_hex(prefix), prefix).otherwise(F.lit(ANY_BUCKET))
+    return F.when(_is_hex(prefix), prefix).when(key.isNotNull(), F.lit(ANY_BUCKET))
 
 
 def range_pieces(ranges: DataFrame) -> DataFrame:

@@ -126,10 +126,10 @@ def alert_digest(scores: DataFrame, k: int = 20) -> DataFrame:
                         numeric.text_round(z, 2)))
 
 
-def alert_counts(digest: DataFrame) -> DataFrame:
-    """One row: digest lines per level."""
+def alert_counts(scores: DataFrame) -> DataFrame:
+    """One row: raised days per level, of all scored days."""
     level = F.col("anomaly_level")
-    return digest.agg(*[F.count(F.when(level == name, 1)).alias(f"{name.lower()}_count")
+    return scores.agg(*[F.count(F.when(level == name, 1)).alias(f"{name.lower()}_count")
                         for name in ALERT_LEVELS])
 
 

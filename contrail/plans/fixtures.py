@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.sources import tables
-
+# Fixed value: flights of the last nation use an airport id that no nation has.
+LAST_NATION, UNKNOWN_AIRPORT = 24, 99
 # Columns the fixtures read; a declared schema saves a file-sampling job per table.
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -43,23 +45,32 @@ def _array(values) -> str:
     return "array(" + ", ".join("null" if v is None else repr(v) for v in values) + ")"
 
 
-def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
+def _airport(nation: str) -> str:
+    return (f"concat('n', lpad(string(if({nation} = {LAST_NATION}, {UNKNOWN_AIRPORT}, {nation})), 3, '0'))")
+
+
+def raw_flights(spark: SparkSession, folder: str, day: dt.date | None = None) -> DataFrame:
     """Deliveries from line items: supplier nation to a nation of the same block.
 
     What depends on the order or the supplier alone is computed before the join.
+    ``day`` limits the scan to the line items shipped then.
     """
     orders = table(spark, folder, "orders").selectExpr(
         "o_orderkey", f"get({_array(HOPS)}, int(o_custkey % 20)) as hop")
     suppliers = table(spark, folder, "supplier").selectExpr(
         "s_suppkey", "s_nationkey",
         "if(s_nationkey < 15, 0, 15) as block", "if(s_nationkey < 15, 15, 10) as size",
-        "concat('n', lpad(string(s_nationkey), 3, '0')) as origin",
+        f"{_airport('s_nationkey')} as origin",
         "get(array(3866624, 11403264, 7866368), int(s_suppkey % 10)) as fleet",
         "s_suppkey % 10 between 3 and 7 as bursts",
         "int(200 + s_suppkey % 4800) as arrival_horiz",
         "int(10 + s_suppkey % 190) as arrival_vert",
         "int(1 + s_suppkey % 4) as arrival_candidates")
-    lines = tables.spread(table(spark, folder, "lineitem"), "l_orderkey").selectExpr(
+    shipped = table(spark, folder, "lineitem")
+    if day:
+        shipped = shipped.filter(f"l_shipdate >= timestamp_ntz '{day}' "
+                                 f"and l_shipdate < timestamp_ntz '{day + dt.timedelta(days=1)}'")
+    lines = shipped.selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "date(l_shipdate) as source_date",
         "unix_timestamp(timestamp(l_shipdate))"
@@ -74,8 +85,8 @@ def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
         "origin as estDepartureAirport",
         "first_seen + case when l_partkey % 97 = 0 then -60 when l_partkey % 101 = 0 then 90000"
         " else 1800 + bigint(l_quantity * 600) end as lastSeen",
-        "if(l_linenumber = 7, null, concat('n', lpad(string("
-        "block + if(hop is null, 0, (s_nationkey - block + hop) % size)), 3, '0')))"
+        "if(l_linenumber = 7, null, "
+        f"{_airport('(block + if(hop is null, 0, (s_nationkey - block + hop) % size))')})"
         " as estArrivalAirport",
         f"if(l_partkey % 50 = 0, null, concat(get({_array(CALLSIGNS)}, int(l_partkey % 14)),"
         " string(l_partkey % 1000))) as callsign",
@@ -97,7 +108,7 @@ def arrival_pull(raw: DataFrame) -> DataFrame:
 
 
 def airport_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    nations = table(spark, folder, "nation").filter("n_nationkey < 24")
+    nations = table(spark, folder, "nation")
     regions = table(spark, folder, "region")
     return nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"]).selectExpr(
         "concat(' n', lpad(string(n_nationkey), 3, '0')) as airport_id",

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from contrail.operators import quality
-from contrail.plans.registry import FIXED_ITERATIONS, LOAD_DATE, SERIES_COUNTRY
+from contrail.plans.registry import LOAD_DATE, SERIES_COUNTRY
 
 ALPHA = 0.85
 MAX_ITERATIONS = 100
@@ -31,12 +31,12 @@ MODELS["raw_flights"] = """
 select
   concat(' ', upper(lpad(lower(hex(cast(base + l_partkey % 2048 as bigint))), 6, '0')), ' ') as icao24,
   fs as firstSeen,
-  concat('n', lpad(cast(s_nationkey as varchar), 3, '0')) as estDepartureAirport,
+  concat('n', lpad(cast(case when s_nationkey = 24 then 99 else s_nationkey end as varchar), 3, '0')) as estDepartureAirport,
   case when l_partkey % 97 = 0 then fs - 60
        when l_partkey % 101 = 0 then fs + 90000
        else fs + 1800 + cast(l_quantity * 600 as bigint) end as lastSeen,
   case when l_linenumber = 7 then null
-       else concat('n', lpad(cast(dest as varchar), 3, '0')) end as estArrivalAirport,
+       else concat('n', lpad(cast(case when dest = 24 then 99 else dest end as varchar), 3, '0')) end as estArrivalAirport,
   case when l_partkey % 50 = 0 then null
        else concat(case l_partkey % 14
                      when 0 then 'rch' when 1 then 'RRR' when 2 then 'gaf' when 3 then 'PLF'
@@ -50,7 +50,7 @@ select
   cast(10 + l_suppkey % 190 as int) as estArrivalAirportVertDistance,
   cast(1 + l_partkey % 4 as int) as departureAirportCandidatesCount,
   cast(1 + l_suppkey % 4 as int) as arrivalAirportCandidatesCount,
-  concat('n', lpad(cast(s_nationkey as varchar), 3, '0')) as _source_airport,
+  concat('n', lpad(cast(case when s_nationkey = 24 then 99 else s_nationkey end as varchar), 3, '0')) as _source_airport,
   'departure' as _source_direction,
   cast(l_shipdate as date) as source_date
 from (
@@ -82,8 +82,7 @@ select concat(' n', lpad(cast(n_nationkey as varchar), 3, '0')) as airport_id,
        cast(-170 + (n_nationkey * 71) % 340 as double) + 0.5 as longitude,
        'UTC' as timezone,
        case when n_nationkey % 8 = 0 then 'military' else 'international' end as airport_type
-from nation join region on n_regionkey = r_regionkey
-where n_nationkey < 24"""
+from nation join region on n_regionkey = r_regionkey"""
 
 MODELS["range_seed"] = """
 select * from (values
@@ -483,7 +482,7 @@ select r.id as airport_id, {even('r', 6)} as pagerank_score,
        {even('betweenness', 6)} as betweenness_centrality,
        {even('coalesce(clustering, 0)', 6)} as clustering_coefficient,
        community_id,
-       row_number() over (order by {rnd('r', 12)} desc, r.id) as hub_rank,
+       row_number() over (order by {rnd('r * (select count(*) from graph_nodes)', 9)} desc, r.id) as hub_rank,
        (select count(*) from graph_nodes) as graph_total_nodes,
        (select count(*) from edges) as graph_total_edges
 from settled r join wdegree w on r.id = w.id join centrality b on r.id = b.id
@@ -619,7 +618,7 @@ FINAL: dict[str, str] = {
     "percentile_rank": f"select date_id, country_code, military_flight_count, "
                        f"{rnd('percentile_rank')} as percentile_rank from percentiles",
     "weighted_degree": "select * from wdegree",
-    "pagerank_fixed": f"select id, {rnd('r')} as pagerank from rank_{FIXED_ITERATIONS}",
+    "pagerank": f"select id, {rnd('r')} as pagerank from settled",
     "components": "select * from communities",
     "clustering": _all_but("clustered", "clustering"),
     "betweenness": _all_but("centrality", "betweenness"),
@@ -712,7 +711,7 @@ select *, '[' || anomaly_level || '] ' || country_code || ' on ' || cast(date_id
 from digest"""
 FINAL["alert_counts"] = """
 select count(*) filter (where anomaly_level = 'CRITICAL') as critical_count,
-       count(*) filter (where anomaly_level = 'HIGH') as high_count from digest"""
+       count(*) filter (where anomaly_level = 'HIGH') as high_count from scored"""
 
 for _name, _ranges_model in (("range_classify", "military_ranges"),
                              ("range_classify_bucketed", "supplier_ranges")):

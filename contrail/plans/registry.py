@@ -19,8 +19,6 @@ _QUERIES: dict[str, Query] = {}
 
 # Digits of doubles that are not rounded by the model itself.
 COMPARE_DIGITS = 6
-# Iterations after which the default rule stops on the fixture.
-FIXED_ITERATIONS = 25
 LOAD_DATE = "1998-01-15"
 SERIES_COUNTRY = "DE"
 
@@ -113,7 +111,7 @@ def date_parts(spark, folder):
 
 @query
 def range_classify(spark, folder):
-    """Nested-loop form on the fixture's few ranges."""
+    """The fixture's few ranges."""
     m = models(spark, folder)
     return ranges.range_classify(
         m.stg_flights.select("flight_id", "icao24"),
@@ -122,10 +120,10 @@ def range_classify(spark, folder):
 
 @query
 def range_classify_bucketed(spark, folder):
-    """Bucketed form on a range table that grows with the data."""
+    """A range table that grows with the data."""
     m = models(spark, folder)
     blocks = staging.stage_ranges(fixtures.supplier_ranges(spark, folder))
-    return ranges.range_classify_bucketed(
+    return ranges.range_classify(
         m.stg_flights.select("flight_id", "icao24"),
         blocks.select("range_start", "range_end", "country_code", "military_branch"))
 
@@ -226,9 +224,8 @@ def weighted_degree(spark, folder):
 
 
 @query
-def pagerank_fixed(spark, folder):
-    return rounded(graph.pagerank(edges(spark, folder), tol=None, max_iter=FIXED_ITERATIONS),
-                   "pagerank")
+def pagerank(spark, folder):
+    return rounded(graph.pagerank(edges(spark, folder)), "pagerank")
 
 
 @query
@@ -280,7 +277,8 @@ def pull_coverage(spark, folder):
 
 
 def _grid_and_done(spark, folder):
-    done = ingest.completed_pulls(fixtures.raw_flights(spark, folder))
+    # one pass over the raw table; everything else derives from the distinct slices
+    done = cut_lineage(ingest.completed_pulls(fixtures.raw_flights(spark, folder)))
     airports = done.select("airport").distinct()
     grid = ingest.pull_grid(airports, done.agg(F.min("day")).scalar(),
                             done.agg(F.max("day")).scalar())
@@ -289,7 +287,8 @@ def _grid_and_done(spark, folder):
 
 @query
 def daily_slice(spark, folder):
-    return ingest.daily_slice(fixtures.raw_flights(spark, folder), LOAD_DATE)
+    day = ingest.day_before(LOAD_DATE)
+    return ingest.daily_slice(fixtures.raw_flights(spark, folder, day), LOAD_DATE)
 
 
 @query
@@ -408,4 +407,4 @@ def alert_digest(spark, folder):
 
 @query
 def alert_counts(spark, folder):
-    return serving.alert_counts(serving.alert_digest(scores(spark, folder)))
+    return serving.alert_counts(scores(spark, folder))

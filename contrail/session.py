@@ -67,4 +67,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.contrail_path = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete the files behind results of ``cut_lineage`` that nothing reads any more."""
+    for df in written:
+        path = getattr(df, "contrail_path", None)
+        if path:
+            jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -102,10 +102,18 @@ def day_bounds(day: str | dt.date) -> tuple[int, int]:
 
 
 def daily_slice(df: DataFrame, run_date: str | dt.date) -> DataFrame:
-    """Rows of the day before the run; the bounds are literals and reach the scan."""
-    day = dt.date.fromisoformat(str(run_date)) - dt.timedelta(days=1)
+    """Rows of the day before the run.
+
+    The partition column limits what is read, the exact bounds hold for the rows.
+    """
+    day = day_before(run_date)
     start, end = day_bounds(day)
-    return df.filter((F.col("firstSeen") >= start) & (F.col("firstSeen") < end))
+    return df.filter((F.col("source_date") == F.lit(day)) & (F.col("firstSeen") >= start)
+                     & (F.col("firstSeen") < end))
+
+
+def day_before(run_date: str | dt.date) -> dt.date:
+    return dt.date.fromisoformat(str(run_date)) - dt.timedelta(days=1)
 
 
 def pull_grid(airports: DataFrame, start: Column, end: Column) -> DataFrame:

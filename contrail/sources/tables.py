@@ -27,16 +27,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores when a scan has fewer partitions than there are cores.
-
-    A file with a single row group is read by one task, which would carry every
-    narrow step after it. Scans of large tables pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 # --- catalog -------------------------------------------------------------
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -143,10 +143,39 @@ def test_sampled_betweenness_is_scaled_and_repeatable(spark, case):
     edges, df = case
     sources = [r["source"] for r in graph.betweenness_sources(graph.nodes(df), 5, 1).collect()]
     assert len(sources) == 5
-    assert as_dict(graph.betweenness(df, k=5, seed=1), "betweenness") == pytest.approx(
+    assert as_dict(graph.betweenness(df, sources=5, seed=1), "betweenness") == pytest.approx(
         plain_betweenness(edges, sources), abs=1e-12)
 
 
+@pytest.mark.parametrize("nodes,batches", [(30, 4), (150, 3)])
+def test_betweenness_is_exact_in_batches(spark, nodes, batches):
+    edges = random_edges(nodes, nodes, nodes * 3, span=9)
+    count = len({n for pair in edges for n in pair})
+    got = graph.betweenness(cut_lineage(frame(spark, edges)), state_rows=count * count // batches + 1)
+    assert as_dict(got, "betweenness") == pytest.approx(plain_betweenness(edges), abs=1e-12)
+
+
+def test_betweenness_rejects_weights_that_are_not_positive(spark):
+    for weight in (0, -1):
+        with pytest.raises(ValueError):
+            graph.betweenness(frame(spark, {("a", "b"): weight, ("b", "a"): 3}))
+
+
+def test_superseded_states_are_deleted(spark):
+    import os
+
+    base = spark.conf.get("spark.checkpoint.dir")
+
+    def folders():
+        return sum(len(d) for _, d, _ in os.walk(base))
+
+    df = cut_lineage(frame(spark, random_edges(4, 20, 60)))
+    before = folders()
+    rows = graph.pagerank(df)
+    # sums by source, moves, and the last state
+    assert folders() - before <= 3 and rows.count() > 0
+
+
 def test_clustering(case):
     edges, df = case
     assert as_dict(graph.clustering(df), "clustering") == pytest.approx(

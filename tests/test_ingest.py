@@ -90,10 +90,21 @@ def test_daily_slice_is_half_open_day_before(spark):
     start = 1777075200  # 2026-04-25 00:00 UTC
     df = flights(spark, [("a", start - 1, "X", 9, "before"), ("a", start, "X", 9, "first"),
                          ("a", start + 86399, "X", 9, "last"), ("a", start + 86400, "X", 9, "next")])
+    df = df.withColumn("source_date", F.timestamp_seconds("firstSeen").cast("date"))
     got = ingest.daily_slice(df, "2026-04-26")
     assert [r["callsign"] for r in got.orderBy("firstSeen").collect()] == ["first", "last"]
 
 
+def test_daily_slice_reads_one_partition(spark, tmp_path):
+    df = flights(spark, [("a", 1777075200 + i * 86400, "X", 9, "c") for i in range(3)])
+    df.withColumn("source_date", F.timestamp_seconds("firstSeen").cast("date")).write.partitionBy(
+        "source_date").parquet(f"{tmp_path}/raw")
+    got = ingest.daily_slice(spark.read.parquet(f"{tmp_path}/raw"), "2026-04-26")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_date" in plan and "= 2026-04-25" in plan
+    assert got.count() == 1
+
+
 def test_missing_slices_and_coverage(spark):
     airports = spark.createDataFrame([("A",), ("B",)], "airport string")
     grid = ingest.pull_grid(airports, F.lit("2026-01-01").cast("date"),

@@ -31,10 +31,7 @@ def test_bucketed_join_equals_text_comparison_for_any_key(spark):
     df = spark.createDataFrame(keys, "id int, icao24 string")
     table = spark.createDataFrame(rows, SCHEMA)
     expected = brute(keys, rows)
-    assert found(ranges.range_classify_bucketed(df, table)) == expected
     assert found(ranges.range_classify(df, table)) == expected
-    # a table over the bound takes the bucketed plan
-    assert found(ranges.range_classify(df, table, max_ranges=3)) == expected
 
 
 def test_bucketed_join_without_broadcast_and_with_a_hot_key(spark):
@@ -45,7 +42,7 @@ def test_bucketed_join_without_broadcast_and_with_a_hot_key(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert found(ranges.range_classify_bucketed(df, table)) == brute(keys, rows)
+        assert found(ranges.range_classify(df, table)) == brute(keys, rows)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 

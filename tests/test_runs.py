@@ -18,7 +18,7 @@ def duck(small):
 FAST = ("stg_flights", "flights_enriched", "range_classify_bucketed", "military_flights",
         "airport_connections", "route_performance", "airport_network", "daily_counts",
         "military_activity", "anomaly_scores", "dedup_pulls", "state_vectors", "missing_slices",
-        "load_flights", "pagerank_fixed", "betweenness")
+        "load_flights", "pagerank", "betweenness")
 
 
 @pytest.mark.parametrize("name", FAST)

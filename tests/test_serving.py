@@ -71,7 +71,7 @@ def test_alert_digest(scores):
     assert lines == [f"[{lv}] {c} on {d}: {n} flights (z={z:.2f})" for lv, c, d, n, z in [
         ("CRITICAL", "DE", "2024-01-01", 9, 4.005), ("HIGH", "US", "2024-01-03", 8, 2.675),
         ("HIGH", "DE", "2024-01-05", 8, 2.675)]]
-    assert serving.alert_counts(digest).first().asDict() == {"critical_count": 1, "high_count": 2}
+    assert serving.alert_counts(scores).first().asDict() == {"critical_count": 1, "high_count": 2}
     message = serving.alert_message(digest)
     assert "1 CRITICAL" in message and message.endswith(lines[-1])
     assert serving.alert_message(digest.limit(0)) is None
