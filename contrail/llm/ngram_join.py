@@ -6,13 +6,14 @@
 2. Sets. Each text becomes (set id, size, smallest hash, prefix); equal sets are
    one from here on. A pair at the threshold shares a shingle of the larger set's
    prefix and the smaller set's shorter prefix.
-3. Groups. Sets with the same smallest infrequent hash are similar with high
-   probability and form a group; groups are dealt into parts of bounded size.
+3. Groups. Sets with the same smallest hash are similar with high probability and
+   form a group; groups are dealt into parts of bounded size.
    The matrix has one entry per group and shingle of its token union.
 4. Bound. Entries of query groups are joined with entries of groups; a group is
    opened only if the shared entries can add up to the overlap that the smallest
    admissible sizes ask for.
-5. Opened groups. Only their members' texts are read again. A group's members are
+5. Opened groups. Each group opens the one it shares most with, then those pairs are
+   left out that are connected already. Only members' texts are read again. A group's members are
    laid out as one sorted token-to-member table; each query set's overlap with the
    union bounds, and its counts per member decide. A group reports a spanning
    forest of its links, not all pairs.
@@ -156,7 +157,7 @@ def _prefixes(frequent: np.ndarray, bits: int, size: int, threshold: int):
                 if len(first) < wanted:
                     first = np.concatenate([first, tokens[last][:wanted - len(first)]])
                 prefix = first.view(np.int64)
-                rows.append((set_id(tokens), n, int(prefix[0]), prefix))
+                rows.append((set_id(tokens), n, int(tokens.view(np.int64)[0]), prefix))
             sid, n, least, prefix = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sid, pa.int64()), pa.array(n, pa.int64()),
@@ -224,11 +225,11 @@ class _Group:
         return edges
 
 
-def _opened(threshold: int):
+def _opened(threshold: int, within: bool):
     """Rows sorted by (gid, salt, query): first a part's members, then its queries."""
     def inside(key: tuple[int, int] | None, group: _Group | None) -> list[tuple[int, int]]:
         # links between members are found once, where the salt is 0
-        if group is None or key[1]:
+        if group is None or key[1] or not within:
             return []
         return [e for i in range(1, len(group.sids)) for e in group.links(group.sids[i], group.sets[i], i)]
 
@@ -302,17 +303,46 @@ def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int =
         shared.join(ranges, "gid").join(large, "qid")
         .where("q_hi >= lo").where(100 * F.col("hi") >= threshold * F.col("q_lo"))
         .where(F.col("shared") > bound)
-        .select(F.least("gid", "qid").alias("gid"), F.greatest("gid", "qid").alias("qid")).distinct())
-    per_group = opened.groupBy("gid").agg(F.count("*").alias("q"))
-    salts = per_group.select("gid", F.ceil(F.col("q") / GROUP_QUERIES).cast("int").alias("salts"))
-    pairs = opened.join(salts, "gid").withColumn("salt", F.expr(
-        "cast(pmod(xxhash64(qid), salts) as int)")).select("gid", "qid", "salt")
-    pairs = cut_lineage(pairs)
-
-    # 5. who is compared where: members with their own part, queries with others
+        .groupBy(F.least("gid", "qid").alias("gid"), F.greatest("gid", "qid").alias("qid"))
+        .agg(F.sum("shared").alias("shared")))
+
+    # every group first opens the one it shares most with; then only pairs of
+    # groups are left that are not known to be connected already
+    partner = F.struct("shared", F.col("other").alias("to"))
+    nearest = (opened.select("gid", F.col("qid").alias("other"), "shared")
+               .unionByName(opened.select(F.col("qid").alias("gid"), F.col("gid").alias("other"), "shared"))
+               .groupBy("gid").agg(F.max(partner).alias("best"))
+               .select(F.least("gid", "best.to").alias("gid"), F.greatest("gid", "best.to").alias("qid"))
+               .distinct())
+    nearest = cut_lineage(nearest)
     inner = ranges.where("members > 1").select("gid", F.lit(0).alias("salt"))
-    own = pairs.select("gid", "salt").union(inner).distinct()
     members = grouped.select("gid", "sid", "rep")
+    first = cut_lineage(_compared(docs, members, inner, nearest, size, threshold))
+    roots = component_roots(first)
+    known = (members.join(roots, F.col("sid") == F.col("id"), "left")
+             .groupBy("gid").agg(F.min(F.coalesce("root", "sid")).alias("low"),
+                                 F.max(F.coalesce("root", "sid")).alias("high")))
+    known = cut_lineage(known)
+    others = known.select(F.col("gid").alias("qid"), F.col("low").alias("q_low"), F.col("high").alias("q_high"))
+    rest = cut_lineage(
+        opened.select("gid", "qid").join(nearest, ["gid", "qid"], "left_anti")
+        .join(known, "gid").join(others, "qid")
+        .where("not (low = high and q_low = q_high and low = q_low)").select("gid", "qid"))
+    second = _compared(docs, members, None, rest, size, threshold)
+    return first.unionByName(second)
+
+
+def _compared(docs: DataFrame, members: DataFrame, inner: DataFrame | None, opened: DataFrame,
+              size: int, threshold: int) -> DataFrame:
+    """Edges between the opened pairs of groups, and with ``inner`` inside those groups."""
+    salts = opened.groupBy("gid").agg(
+        F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("salts"))
+    pairs = cut_lineage(opened.join(salts, "gid").withColumn("salt", F.expr(
+        "cast(pmod(xxhash64(qid), salts) as int)")).select("gid", "qid", "salt"))
+
+    # 5. who is compared where: members with their own part, queries with others
+    own = pairs.select("gid", "salt")
+    own = (own if inner is None else own.union(inner)).distinct()
     roles = cut_lineage(
         own.join(members, "gid").select("gid", "salt", F.lit(0).alias("query"), "sid", "rep")
         .unionByName(pairs.join(members.withColumnRenamed("gid", "qid"), "qid")
@@ -329,7 +359,7 @@ def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int =
               .select("sid", "tokens", F.inline("places")))
     return (blocks.repartition("gid", "salt").sortWithinPartitions("gid", "salt", "query", "sid")
             .select("gid", "salt", "query", "sid", "tokens")
-            .mapInPandas(_opened(threshold), "src long, dst long"))
+            .mapInPandas(_opened(threshold, inner is not None), "src long, dst long"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
