@@ -119,15 +119,21 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
                prior)
 
 
+def _places(columns: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Places in the sorted ``columns`` of those features that are there."""
+    at = np.minimum(np.searchsorted(columns, found), len(columns) - 1)
+    return at[columns[at] == found]
+
+
 def _selected(toxic: list[np.ndarray], plain: list[np.ndarray]) -> np.ndarray:
     """Features of at least three toxic examples that are clearly rarer in plain text."""
     ids, counts = np.unique(np.concatenate(toxic), return_counts=True)
     ids, counts = ids[counts >= 3], counts[counts >= 3]
     if not len(ids):
         return ids
-    everywhere = np.concatenate(plain) if plain else np.empty(0, np.uint32)
-    at = np.minimum(np.searchsorted(ids, everywhere), len(ids) - 1)
-    other = np.bincount(at[ids[at] == everywhere], minlength=len(ids))
+    other = np.zeros(len(ids), np.int64)
+    for s in plain:
+        other[_places(ids, s)] += 1
     p, q = counts / len(toxic), (other + 0.5) / (len(plain) + 1)
     surplus = (p - q) / np.sqrt(p * (1 - p) / len(toxic) + q * (1 - q) / (len(plain) + 1) + 1e-12)
     good = (p >= 2 * q) & (surplus >= 3)
@@ -143,11 +149,9 @@ def fit(toxic: list[np.ndarray], plain: list[np.ndarray], prior: float, *, steps
         return Model({}, float(np.log(prior / (1 - prior))), prior)
 
     def matrix(sets: list[np.ndarray]):
-        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        flat = np.concatenate(sets)
-        at = np.minimum(np.searchsorted(columns, flat), len(columns) - 1)
-        found = columns[at] == flat
-        return row[found], at[found]
+        # text by text: most features are not selected
+        places = [_places(columns, s) for s in sets]
+        return np.repeat(np.arange(len(sets)), [len(p) for p in places]), np.concatenate(places)
 
     def sigmoid(z):
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
