@@ -38,29 +38,35 @@ def flight_distance() -> Column:
                          F.col("destination_lat"), F.col("destination_lon"))
 
 
-def enrich_flights(flights: DataFrame, airports: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Staged flights joined with staged airports and staged military ranges."""
+def classify_flights(flights: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Staged flights with their military range, duration and date parts: all that
+    does not depend on the airports."""
     military = ranges.select("range_start", "range_end",
                              F.col("country_code").alias("military_country"),
                              "military_branch")
-    joined = rng.range_classify(with_airports(flights, airports), military)
     seen = F.col("first_seen_at")
-    return joined.select(
+    return rng.range_classify(flights, military).withColumns({
+        "flight_date": seen.cast("date"),
+        "flight_duration_min": time.minutes_between("first_seen_at", "last_seen_at"),
+        "is_military": F.col("military_country").isNotNull(),
+        "flight_year": time.year_of(seen),
+        "flight_month": time.month_of(seen),
+        "day_of_week": time.weekday(seen),
+        "is_weekend": time.is_weekend(seen)})
+
+
+def enrich_flights(classified: DataFrame, airports: DataFrame) -> DataFrame:
+    """Classified flights joined with staged airports."""
+    return with_airports(classified, airports).select(
         "flight_id", "icao24", "callsign", "first_seen_at", "last_seen_at",
-        seen.cast("date").alias("flight_date"),
-        time.minutes_between("first_seen_at", "last_seen_at").alias("flight_duration_min"),
+        "flight_date", "flight_duration_min",
         "origin_airport_id", "origin_airport_name", "origin_city", "origin_country",
         "origin_lat", "origin_lon",
         "destination_airport_id", "destination_airport_name", "destination_city",
         "destination_country", "destination_lat", "destination_lon",
         flight_distance().alias("distance_km"),
-        F.col("military_country").isNotNull().alias("is_military"),
-        "military_country", "military_branch",
-        time.year_of(seen).alias("flight_year"),
-        time.month_of(seen).alias("flight_month"),
-        time.weekday(seen).alias("day_of_week"),
-        time.is_weekend(seen).alias("is_weekend"),
-        "source_date")
+        "is_military", "military_country", "military_branch",
+        "flight_year", "flight_month", "day_of_week", "is_weekend", "source_date")
 
 
 def military_flights(enriched: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contrail.config import Settings
 from contrail.functions import ladders, numeric
+from contrail.operators import enrich
 
 ROUTE_KEYS = (
     "origin_airport_id", "destination_airport_id",
@@ -15,19 +16,23 @@ ROUTE_KEYS = (
 )
 
 
-def route_rollup(enriched: DataFrame) -> DataFrame:
+def route_rollup(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """Every measure of a route in one pass over the flights.
 
+    Flights are grouped by the two ids alone; airports, and the distance that
+    follows from them, are joined to the routes. ``flights`` need no airport
+    columns; airport ids have to be unique.
+
     Both route models are projections of this aggregate: the optimizer drops
     the measures a model does not use and moves filters on the route keys below
     the aggregation. A pipeline stores it once and derives both models from it.
     The distinct counts are expanded and combined before the shuffle, so a
     route with a large part of all flights does not land in one task.
     """
-    routed = enriched.filter(F.col("origin_airport_id").isNotNull()
-                             & F.col("destination_airport_id").isNotNull())
+    routed = flights.filter(F.col("origin_airport_id").isNotNull()
+                            & F.col("destination_airport_id").isNotNull())
     duration = F.col("flight_duration_min")
-    return routed.groupBy(*ROUTE_KEYS).agg(
+    measured = routed.groupBy("origin_airport_id", "destination_airport_id").agg(
         F.count(F.lit(1)).alias("flight_count"),
         F.countDistinct("flight_date").alias("active_days"),
         F.countDistinct("icao24").alias("unique_aircraft"),
@@ -35,11 +40,12 @@ def route_rollup(enriched: DataFrame) -> DataFrame:
         F.min(duration).alias("min_duration_min"),
         F.max(duration).alias("max_duration_min"),
         F.stddev_samp(duration).alias("stddev_duration_min"),
-        F.avg("distance_km").alias("avg_distance_km"),
         numeric.share_pct(F.col("is_weekend")).alias("weekend_pct"),
         numeric.count_if(F.col("is_military")).alias("military_flights"),
         F.min("flight_date").alias("first_flight_date"),
         F.max("flight_date").alias("last_flight_date"))
+    return enrich.with_airports(measured, airports).withColumn(
+        "avg_distance_km", enrich.flight_distance())
 
 
 def connections_from_rollup(rollup: DataFrame) -> DataFrame:
@@ -82,9 +88,10 @@ def performance_from_rollup(rollup: DataFrame, settings: Settings = Settings())
         ladders.ladder(total, ladders.ROUTE_TIER_STEPS, "TIER_4_RARE").alias("route_tier"))
 
 
-def airport_connections(enriched: DataFrame) -> DataFrame:
-    return connections_from_rollup(route_rollup(enriched))
+def airport_connections(flights: DataFrame, airports: DataFrame) -> DataFrame:
+    return connections_from_rollup(route_rollup(flights, airports))
 
 
-def flight_performance(enriched: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    return performance_from_rollup(route_rollup(enriched), settings)
+def flight_performance(flights: DataFrame, airports: DataFrame,
+                       settings: Settings = Settings()) -> DataFrame:
+    return performance_from_rollup(route_rollup(flights, airports), settings)

@@ -81,6 +81,12 @@ def top_airports(points: DataFrame, metric: str = "pagerank_score", k: int = 15)
     return top_k(points, metric, k, "airport_id")
 
 
+def country_choice(points: DataFrame) -> DataFrame:
+    """Country codes of the points with their number, for a selector."""
+    return (points.filter(F.col("country_code").isNotNull()).groupBy("country_code")
+            .agg(F.count(F.lit(1)).alias("airports")).orderBy("country_code"))
+
+
 def hub_ranking(graph: DataFrame, metric: str = "pagerank_score", k: int = 20) -> DataFrame:
     if metric not in graph.columns:
         raise ValueError(f"no metric {metric}; present: {graph.columns}")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from contrail.operators import quality
-from contrail.plans.registry import LOAD_DATE, SERIES_COUNTRY
+from contrail.plans.registry import LOAD_DATE, MAP_COUNTRIES, SERIES_COUNTRY
 
 ALPHA = 0.85
 MAX_ITERATIONS = 100
@@ -700,6 +700,19 @@ from scored""",
                       f"and anomaly_level in ('ELEVATED', 'HIGH', 'CRITICAL')",
 }
 
+for _name, _metric in (("pagerank", "pagerank_score"), ("betweenness", "betweenness_centrality")):
+    FINAL[f"hub_ranking_{_name}"] = (
+        f"select airport_id, airport_name, country_code, {_metric} from map_points "
+        f"order by {_metric} desc, airport_id limit 20")
+for _name, _metric, _k in (("distance", "avg_distance_km", 20), ("duration", "avg_duration_min", 15)):
+    FINAL[f"top_routes_{_name}"] = FINAL["top_routes"].replace(
+        "order by total_flights desc", f"order by {_metric} desc nulls last").replace(
+        "limit 20", f"limit {_k}")
+FINAL["network_map_countries"] = (
+    f"select * from ({FINAL['network_map']}) m where country_code in {MAP_COUNTRIES}")
+FINAL["map_countries"] = ("select country_code, count(*) as airports from map_points "
+                          "where country_code is not null group by 1")
+
 MODELS["digest"] = """
 select date_id, country_code, military_flight_count, z_score, anomaly_level
 from scored where anomaly_level in ('CRITICAL', 'HIGH')

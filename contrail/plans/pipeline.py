@@ -20,6 +20,7 @@ class Models:
     stg_flights: DataFrame
     stg_airports: DataFrame
     stg_ranges: DataFrame
+    flights_classified: DataFrame
     flights_enriched: DataFrame
     military_flights: DataFrame
 
@@ -36,27 +37,33 @@ def flight_models(raw: DataFrame, airport_seed: DataFrame, range_seed: DataFrame
     flights = staging.stage_flights(raw)
     airports = staging.stage_airports(airport_seed)
     ranges = staging.stage_ranges(range_seed)
-    enriched = enrich.enrich_flights(flights, airports, ranges)
-    return Models(flights, airports, ranges, enriched, enrich.military_flights(enriched))
+    classified = enrich.classify_flights(flights, ranges)
+    enriched = enrich.enrich_flights(classified, airports)
+    return Models(flights, airports, ranges, classified, enriched,
+                  enrich.military_flights(enriched))
 
 
 def build_tables(models: Models, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """All models by name.
 
-    Flights are read twice, once for the route measures and once for the daily
-    counts. Both aggregates are small next to the flights and are checkpointed;
-    every mart is derived from them.
+    Enriched flights are written once; the route measures, the daily counts and
+    the checks read them from there. Both aggregates are small next to the flights
+    and are written as well; every mart is derived from them.
     """
-    rollup = cut_lineage(routes.route_rollup(models.flights_enriched))
-    daily = cut_lineage(activity.daily_military_counts(models.military_flights, settings))
+    enriched = cut_lineage(models.flights_enriched)
+    military = enrich.military_flights(enriched)
+    without_places = enriched.drop(*(f"{end}_{c}" for end in ("origin", "destination")
+                                     for c in ("airport_name", "city", "country", "lat", "lon")))
+    rollup = cut_lineage(routes.route_rollup(without_places, models.stg_airports))
+    daily = cut_lineage(activity.daily_military_counts(military, settings))
     connections = routes.connections_from_rollup(rollup)
     military_activity = activity.military_activity(daily, settings)
     return {
         "stg_flights": models.stg_flights,
         "stg_airports": models.stg_airports,
         "stg_ranges": models.stg_ranges,
-        "flights_enriched": models.flights_enriched,
-        "military_flights": models.military_flights,
+        "flights_enriched": enriched,
+        "military_flights": military,
         "airport_connections": connections,
         "daily_military_counts": daily,
         "flight_performance": routes.performance_from_rollup(rollup, settings),

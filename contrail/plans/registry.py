@@ -21,6 +21,7 @@ _QUERIES: dict[str, Query] = {}
 COMPARE_DIGITS = 6
 LOAD_DATE = "1998-01-15"
 SERIES_COUNTRY = "DE"
+MAP_COUNTRIES = ("EU", "AS")
 
 
 def query(function: Query) -> Query:
@@ -51,7 +52,13 @@ def models(spark: SparkSession, folder: str) -> pipeline.Models:
 
 
 def connections(spark, folder):
-    return routes.airport_connections(models(spark, folder).flights_enriched)
+    m = models(spark, folder)
+    return routes.airport_connections(m.flights_classified, m.stg_airports)
+
+
+def performance(spark, folder):
+    m = models(spark, folder)
+    return routes.flight_performance(m.flights_classified, m.stg_airports)
 
 
 def daily(spark, folder):
@@ -143,13 +150,13 @@ def airport_connections(spark, folder):
 
 @query
 def route_performance(spark, folder):
-    return routes.flight_performance(models(spark, folder).flights_enriched)
+    return performance(spark, folder)
 
 
 @query
 def airport_network(spark, folder):
     m = models(spark, folder)
-    return network.airport_network(routes.airport_connections(m.flights_enriched),
+    return network.airport_network(connections(spark, folder),
                                    m.stg_airports)
 
 
@@ -368,21 +375,66 @@ def network_top(spark, folder):
 def hub_ranking(spark, folder):
     """By connections, over the SQL network mart."""
     m = models(spark, folder)
-    mart = network.airport_network(routes.airport_connections(m.flights_enriched),
+    mart = network.airport_network(connections(spark, folder),
                                    m.stg_airports)
     return serving.hub_ranking(mart, "total_degree").select(
         "airport_id", "airport_name", "country_code", "total_degree")
 
 
+def _hubs(spark, folder, metric):
+    m = models(spark, folder)
+    points = serving.located_airports(_graph_table(spark, folder), m.stg_airports)
+    return serving.hub_ranking(points, metric).select(
+        "airport_id", "airport_name", "country_code", metric)
+
+
+@query
+def hub_ranking_pagerank(spark, folder):
+    return _hubs(spark, folder, "pagerank_score")
+
+
+@query
+def hub_ranking_betweenness(spark, folder):
+    return _hubs(spark, folder, "betweenness_centrality")
+
+
+@query
+def top_routes_distance(spark, folder):
+    """The longest routes."""
+    return serving.top_routes(performance(spark, folder), "avg_distance_km")
+
+
+@query
+def top_routes_duration(spark, folder):
+    """The 15 routes of the longest average duration."""
+    return serving.top_routes(performance(spark, folder), "avg_duration_min", 15)
+
+
+@query
+def network_map_countries(spark, folder):
+    """The map of two countries; marker sizes are scaled over all airports."""
+    m = models(spark, folder)
+    table = cut_lineage(_graph_table(spark, folder))
+    return rounded(serving.network_map(table, m.stg_airports, MAP_COUNTRIES), "marker_size")
+
+
+@query
+def map_countries(spark, folder):
+    """Countries to choose from, with their airports on the map."""
+    m = models(spark, folder)
+    points = serving.located_airports(_graph_table(spark, folder), m.stg_airports)
+    return serving.country_choice(points)
+
+
 @query
 def top_routes(spark, folder):
-    return serving.top_routes(routes.flight_performance(models(spark, folder).flights_enriched))
+    return serving.top_routes(performance(spark, folder))
 
 
 @query
 def route_kpis(spark, folder):
     return rounded(serving.route_kpis(
-        routes.flight_performance(models(spark, folder).flights_enriched)), "avg_distance_km")
+        performance(spark, folder)), "avg_distance_km")
 
 
 @query

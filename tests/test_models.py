@@ -85,9 +85,10 @@ def test_unmatched_and_incomplete_airports(models):
 
 def test_connections_drop_self_routes_performance_keeps_them(models):
     pairs = {(r["origin_airport_id"], r["destination_airport_id"])
-             for r in routes.airport_connections(models.flights_enriched).collect()}
+             for r in routes.airport_connections(models.flights_classified, models.stg_airports).collect()}
     assert pairs == {("AAAA", "BBBB"), ("AAAA", "CCCC")}
-    every = routes.flight_performance(models.flights_enriched, Settings(min_route_flights=1))
+    every = routes.flight_performance(models.flights_classified, models.stg_airports,
+                                      Settings(min_route_flights=1))
     rows = {(r["origin_airport_id"], r["destination_airport_id"]): r for r in every.collect()}
     assert set(rows) == pairs | {("AAAA", "AAAA")}
     assert rows["AAAA", "AAAA"]["stddev_duration_min"] is None
@@ -95,12 +96,12 @@ def test_connections_drop_self_routes_performance_keeps_them(models):
     assert rows["AAAA", "BBBB"]["total_flights"] == 2
     assert rows["AAAA", "BBBB"]["unique_aircraft"] == 1
     assert rows["AAAA", "BBBB"]["military_pct"] == 100.0
-    assert routes.flight_performance(models.flights_enriched).count() == 0
+    assert routes.flight_performance(models.flights_classified, models.stg_airports).count() == 0
 
 
 def test_one_sided_airports_stay_in_the_network(models):
     rows = {r["airport_id"]: r for r in network.airport_network(
-        routes.airport_connections(models.flights_enriched), models.stg_airports).collect()}
+        routes.airport_connections(models.flights_classified, models.stg_airports), models.stg_airports).collect()}
     assert (rows["AAAA"]["out_degree"], rows["AAAA"]["in_degree"]) == (2, 0)
     assert rows["BBBB"]["flow_asymmetry"] == -1.0 and rows["AAAA"]["flow_asymmetry"] == 1.0
 
