@@ -43,8 +43,8 @@ SIZE = 4
 # a link needs 100 * intersection >= THRESHOLD * union
 THRESHOLD = 85
 # shingles that are ordered last: at most so many, each in so many texts at least
-FREQUENT = 131_072
-FREQUENT_FROM = 8
+FREQUENT = 1_000_000
+FREQUENT_FROM = 3
 # hashes a task gathers before it deals out their counts
 COUNT_BUFFER = 6_000_000
 # shingles in one part of a group; query groups that one task compares with it
