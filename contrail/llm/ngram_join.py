@@ -43,8 +43,9 @@ SIZE = 4
 # a link needs 100 * intersection >= THRESHOLD * union
 THRESHOLD = 85
 # shingles that are ordered last: at most so many, each in so many texts at least
-FREQUENT = 1_000_000
+FREQUENT = 500_000
 FREQUENT_FROM = 3
+MAX_LEVEL = 1_000
 # hashes a task gathers before it deals out their counts
 COUNT_BUFFER = 6_000_000
 # shingles in one part of a group; query groups that one task compares with it
@@ -105,14 +106,17 @@ def _dealt_counts(size: int, ranges: int, bits: int):
 
 
 def _merged_counts(rows: pd.DataFrame) -> pd.DataFrame:
+    """Keys of one range by their count (counts from MAX_LEVEL on are one level)."""
     keys = np.concatenate([_unpack(k, U64) for k in rows["keys"]])
     counts = np.concatenate([np.frombuffer(zlib.decompress(c), np.uint32) for c in rows["counts"]])
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    totals = np.add.reduceat(counts[order].astype(np.int64), starts)
-    common = totals >= FREQUENT_FROM
-    return pd.DataFrame({"key": keys[starts][common].astype(np.int64), "n": totals[common]})
+    totals = np.minimum(np.add.reduceat(counts[order].astype(np.int64), starts), MAX_LEVEL)
+    keys = keys[starts]
+    return pd.DataFrame([(n, int((totals == n).sum()), keys[totals == n].tobytes())
+                         for n in np.unique(totals[totals >= FREQUENT_FROM]).tolist()],
+                        columns=["level", "n", "keys"])
 
 
 def frequent_shingles(docs: DataFrame, size: int = SIZE) -> tuple[np.ndarray, int]:
@@ -124,11 +128,21 @@ def frequent_shingles(docs: DataFrame, size: int = SIZE) -> tuple[np.ndarray, in
     n_docs = docs.count()
     ranges = max(64, n_docs // 2048)
     bits = min(60, max(24, (512 * n_docs).bit_length() + 5))
-    top = (docs.select("text").mapInPandas(_dealt_counts(size, ranges, bits),
-                                           "part long, keys binary, counts binary")
-           .groupBy("part").applyInPandas(_merged_counts, "key long, n long")
-           .orderBy(F.desc("n"), "key").limit(FREQUENT).select("key").toPandas())
-    return np.sort(top["key"].to_numpy(dtype=np.int64)).astype(U64), bits
+    levels = cut_lineage(
+        docs.select("text").mapInPandas(_dealt_counts(size, ranges, bits),
+                                        "part long, keys binary, counts binary")
+        .groupBy("part").applyInPandas(_merged_counts, "level long, n long, keys binary"))
+    # whole levels from the highest count down, as many as fit; at most MAX_LEVEL sums
+    held, least = 0, None
+    for level, n in sorted(levels.groupBy("level").agg(F.sum("n")).collect(), reverse=True):
+        held += n
+        if held > FREQUENT:
+            break
+        least = level
+    if least is None:
+        return np.empty(0, U64), bits
+    rows = levels.where(F.col("level") >= least).select("keys").collect()
+    return np.sort(np.concatenate([np.frombuffer(r.keys, U64) for r in rows])), bits
 
 
 # --- 2. sets -------------------------------------------------------------
