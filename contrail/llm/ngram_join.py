@@ -6,17 +6,19 @@
 2. Sets. Each text becomes (set id, size, smallest hash, prefix); equal sets are
    one from here on. A pair at the threshold shares a shingle of the larger set's
    prefix and the smaller set's shorter prefix.
-3. Groups. Sets with the same smallest hash are similar with high probability and
-   form a group; groups are dealt into parts of bounded size.
+3. Groups. Sets with the same first shingle in that order are similar with high
+   probability and form a group; groups are dealt into parts of bounded size. (With
+   the smallest hash of all shingles, texts that share only a common passage would
+   fill groups.)
    The matrix has one entry per group and shingle of its token union.
 4. Bound. Entries of query groups are joined with entries of groups; a group is
    opened only if the shared entries can add up to the overlap that the smallest
    admissible sizes ask for.
 5. Opened groups. Each group opens the one it shares most with, then those pairs are
-   left out that are connected already. Only members' texts are read again. A group's members are
-   laid out as one sorted token-to-member table; each query set's overlap with the
-   union bounds, and its counts per member decide. A group reports a spanning
-   forest of its links, not all pairs.
+   left out that are connected already. Only members' texts are read again. A group's
+   members are laid out as one sorted token-to-member table; each query set's overlap
+   with the union bounds, and its counts per member decide. A group reports a
+   spanning forest of its links, not all pairs.
 6. Connected components of the links, by star contraction.
 
 The result is exact for every choice of frequent shingles and groups; both only
@@ -171,7 +173,7 @@ def _prefixes(frequent: np.ndarray, bits: int, size: int, threshold: int):
                 if len(first) < wanted:
                     first = np.concatenate([first, tokens[last][:wanted - len(first)]])
                 prefix = first.view(np.int64)
-                rows.append((set_id(tokens), n, int(tokens.view(np.int64)[0]), prefix))
+                rows.append((set_id(tokens), n, int(prefix[0]), prefix))
             sid, n, least, prefix = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sid, pa.int64()), pa.array(n, pa.int64()),
