@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from contrail.llm import license_scan
 from contrail.llm.license_scan import Scanner, TEMPLATES, words_of
 
@@ -42,3 +44,50 @@ def test_odd_rows(make_docs, odd_rows, empty_docs):
     assert [(r.doc_id, r.template) for r in got] == [(9, "mit"), (9, "mit")]
     assert license_scan.license_report(empty_docs).collect() == []
     assert license_scan.license_report(make_docs(rows), {}).collect() == []
+
+
+def test_whole_texts_are_found(make_docs):
+    """Every known template is found in its own text, whole and as the only one of its family at that place."""
+    known = license_scan.known_licenses()
+    assert {"bsd-2-clause-text", "bsd-3-clause-text", "isc-text", "mit-text", "apache-2.0-text", "gpl-3.0-text",
+            "lgpl-2.1-text", "agpl-3.0-text", "mpl-2.0-text", "epl-1.0-text", "epl-2.0-header", "cc-by-4.0-text",
+            "cc-by-sa-4.0-text", "cc0-1.0-text", "unlicense-text"} <= set(known)
+    names = sorted(known)
+    docs = make_docs([f"some words before it\n{known[n]}\nand some words behind" for n in names])
+    got = license_scan.license_report(docs).collect()
+    for i, name in enumerate(names):
+        n = len(words_of(known[name]))
+        whole = [r for r in got if r.doc_id == i and 2 * (r.word_end - r.word_start) > n]
+        assert [(r.template, r.coverage, r.word_start, r.word_end) for r in whole if r.n_matched == n] == [
+            (name, 1.0, 4, 4 + n)], name
+        assert all(r.coverage == 1.0 for r in whole), name
+
+
+def test_span_of_a_changed_body(make_docs):
+    known = license_scan.known_licenses()
+    body = known["mit-text"].replace("deal", "trade").replace("NONINFRINGEMENT", "more")
+    half = known["mit-text"][:500]
+    rows = [r for r in license_scan.license_report(make_docs([body + "\nx y", half])).collect()]
+    text = [r for r in rows if r.template == "mit-text"]
+    assert [(r.doc_id, r.n_template - r.n_matched, body[r.char_start:r.char_end]) for r in text] == [
+        (0, 2, body.strip().rstrip("."))]
+    assert [r.doc_id for r in rows if r.template == "mit-permission"] == [0, 1]
+
+
+def test_family_members_are_told_apart(make_docs):
+    texts = {"Licensed under CC BY 4.0.": "cc-by-4.0", "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa-4.0",
+             "Released under the ISC License.": "isc", "SPDX-License-Identifier: MPL-2.0": "spdx-mpl-2.0",
+             "This work is licensed under the GNU General Public License, version 2.": "gpl-2.0",
+             "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0"}
+    got = license_scan.license_report(make_docs(list(texts))).collect()
+    assert [(r.doc_id, r.template) for r in got] == list(enumerate(texts.values()))
+
+
+def test_rows_of_numbers_equal_single_cells():
+    rng = random.Random(9)
+    for _ in range(200):
+        template = [rng.choice(b"abcdef") for _ in range(rng.randint(1, 14))]
+        text = [rng.choice(b"abcdefgh") for _ in range(rng.randint(0, 30))]
+        d, band = rng.randint(-15, 30), rng.randint(1, 6)
+        assert license_scan.aligned_long(np.array(template), np.array(text, int), d, band) == license_scan.aligned(
+            template, text, d, band)
