@@ -18,7 +18,8 @@
    left out that are connected already. Only members' texts are read again. A group's
    members are laid out as one sorted token-to-member table; each query set's overlap
    with the union bounds, and its counts per member decide. A group reports a
-   spanning forest of its links, not all pairs.
+   spanning forest of its links, not all pairs: ``near_duplicates`` gives components
+   only. ``link_counts`` compares all opened pairs and counts every link.
 6. Connected components of the links, by star contraction.
 
 The result is exact for every choice of frequent shingles and groups; both only
@@ -196,8 +197,9 @@ def _tokens(size: int, text: str) -> Column:
 class _Group:
     """The opened members of one part of a group and the links found for them."""
 
-    def __init__(self, threshold: int) -> None:
+    def __init__(self, threshold: int, every: bool = False) -> None:
         self.threshold = threshold
+        self.every = every
         self.sids: list[int] = []
         self.sets: list[np.ndarray] = []
         self.parent: dict[int, int] = {}
@@ -215,7 +217,7 @@ class _Group:
         return x
 
     def links(self, sid: int, tokens: np.ndarray, upto: int | None = None) -> list[tuple[int, int]]:
-        """New edges from ``sid`` to members (the first ``upto`` of them)."""
+        """Edges from ``sid`` to members (the first ``upto`` of them), new ones or every one."""
         if self.table is None:
             keys = np.concatenate(self.sets)
             member = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
@@ -234,6 +236,9 @@ class _Group:
         linked = np.flatnonzero(100 * shared >= self.threshold * (sizes + len(tokens) - shared))
         edges = []
         for i in linked[:len(linked) if upto is None else np.searchsorted(linked, upto)].tolist():
+            if self.every:
+                edges.append((sid, self.sids[i]))
+                continue
             a, b = self.root(sid), self.root(self.sids[i])
             if a != b:
                 self.parent[a] = b
@@ -241,7 +246,7 @@ class _Group:
         return edges
 
 
-def _opened(threshold: int, within: bool):
+def _opened(threshold: int, within: bool, every: bool = False):
     """Rows sorted by (gid, salt, query): first a part's members, then its queries."""
     def inside(key: tuple[int, int] | None, group: _Group | None) -> list[tuple[int, int]]:
         # links between members are found once, where the salt is 0
@@ -250,15 +255,20 @@ def _opened(threshold: int, within: bool):
         return [e for i in range(1, len(group.sids)) for e in group.links(group.sids[i], group.sets[i], i)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, group = None, None
+        current, group, last = None, None, None
         for batch in batches:
             edges: list[tuple[int, int]] = []
             for gid, salt, query, sid, data in zip(batch["gid"], batch["salt"], batch["query"],
                                                    batch["sid"], batch["tokens"]):
                 if (gid, salt) != current:
                     edges += inside(current, group)
-                    current, group = (gid, salt), _Group(threshold)
+                    current, group = (gid, salt), _Group(threshold, every)
                 tokens = np.frombuffer(data, U64)
+                if every:
+                    # repeated rows, and other texts under the id that stands for the set
+                    if last == (gid, salt, query, sid) or set_id(tokens) != sid:
+                        continue
+                    last = gid, salt, query, sid
                 if not query:
                     group.add(sid, tokens)
                 elif group.sids:
@@ -269,9 +279,11 @@ def _opened(threshold: int, within: bool):
 
 
 def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int = SIZE,
-               threshold: int = THRESHOLD) -> DataFrame:
+               threshold: int = THRESHOLD, every: bool = False) -> DataFrame:
     """Edges (src, dst) of set ids: a spanning forest per opened part of a group.
 
+    With ``every`` all pairs of linked sets, each of them once.
+
     ``narrow`` has (doc_id, sid, prefix) of every document, ``sets`` has
     (sid, n, least, rep): distinct sets with the id of one document that holds each.
     """
@@ -322,6 +334,11 @@ def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int =
         .groupBy(F.least("gid", "qid").alias("gid"), F.greatest("gid", "qid").alias("qid"))
         .agg(F.sum("shared").alias("shared")))
 
+    inner = ranges.where("members > 1").select("gid", F.lit(0).alias("salt"))
+    members = grouped.select("gid", "sid", "rep")
+    if every:
+        return _compared(docs, members, inner, opened.select("gid", "qid"), size, threshold, every)
+
     # every group first opens the one it shares most with; then only pairs of
     # groups are left that are not known to be connected already
     partner = F.struct("shared", F.col("other").alias("to"))
@@ -331,8 +348,6 @@ def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int =
                .select(F.least("gid", "best.to").alias("gid"), F.greatest("gid", "best.to").alias("qid"))
                .distinct())
     nearest = cut_lineage(nearest)
-    inner = ranges.where("members > 1").select("gid", F.lit(0).alias("salt"))
-    members = grouped.select("gid", "sid", "rep")
     first = cut_lineage(_compared(docs, members, inner, nearest, size, threshold))
     roots = component_roots(first)
     known = (members.join(roots, F.col("sid") == F.col("id"), "left")
@@ -349,7 +364,7 @@ def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int =
 
 
 def _compared(docs: DataFrame, members: DataFrame, inner: DataFrame | None, opened: DataFrame,
-              size: int, threshold: int) -> DataFrame:
+              size: int, threshold: int, every: bool = False) -> DataFrame:
     """Edges between the opened pairs of groups, and with ``inner`` inside those groups."""
     salts = opened.groupBy("gid").agg(
         F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("salts"))
@@ -375,7 +390,49 @@ def _compared(docs: DataFrame, members: DataFrame, inner: DataFrame | None, open
               .select("sid", "tokens", F.inline("places")))
     return (blocks.repartition("gid", "salt").sortWithinPartitions("gid", "salt", "query", "sid")
             .select("gid", "salt", "query", "sid", "tokens")
-            .mapInPandas(_opened(threshold, inner is not None), "src long, dst long"))
+            .mapInPandas(_opened(threshold, inner is not None, every), "src long, dst long"))
+
+
+def _sets(docs: DataFrame, size: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """``narrow`` and ``sets`` as ``link_edges`` takes them."""
+    frequent, bits = frequent_shingles(docs, size)
+    narrow = cut_lineage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        _prefixes(frequent, bits, size, threshold), "doc_id long, sid long, n long, least long, prefix array<long>"))
+    sets = (narrow.where("sid is not null and doc_id is not null").groupBy("sid")
+            .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("least").alias("least")))
+    return narrow, cut_lineage(sets)
+
+
+def link_counts(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
+    """One row per document id: doc_id, n_links, the number of other ids it is linked with.
+
+    All candidate pairs of distinct sets are verified, so a group of n near copies
+    costs up to n * n comparisons. Ids are counted once however often their rows
+    are repeated; null ids neither count nor get a row.
+    """
+    narrow, sets = _sets(docs, size, threshold)
+    edges = cut_lineage(link_edges(docs, narrow, sets, size, threshold, every=True))
+    pairs = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    pairs = pairs.unionByName(sets.select(F.col("sid").alias("src"), F.col("sid").alias("dst")))
+    held = cut_lineage(narrow.where("doc_id is not null").select("doc_id", "sid").distinct())
+    # an id with several texts can meet another one by more than one pair of sets
+    several = held.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
+    plain = held.join(several, "doc_id", "left_anti")
+    copies = plain.where("sid is not null").groupBy(F.col("sid").alias("dst")).agg(F.count("*").alias("c"))
+    by_set = pairs.join(copies, "dst").groupBy(F.col("src").alias("sid")).agg(F.sum("c").alias("c"))
+    simple = (plain.join(by_set, "sid", "left")
+              .select("doc_id", F.coalesce(F.col("c") - 1, F.lit(0)).alias("n")))
+    # what has an end in an id with several texts is counted pair by pair
+    odd = held.join(several, "doc_id")
+    met = (odd.join(pairs, odd["sid"] == pairs["src"]).select(F.col("doc_id").alias("a"), "dst")
+           .join(held.select(F.col("doc_id").alias("b"), "sid"), F.col("dst") == F.col("sid"))
+           .where("a <> b").select("a", "b").distinct())
+    back = met.join(several.select(F.col("doc_id").alias("b")), "b", "left_anti").select(
+        F.col("b").alias("doc_id"), F.lit(1).alias("n"))
+    ids = several.select("doc_id", F.lit(0).alias("n"))
+    return (simple.unionByName(met.select(F.col("a").alias("doc_id"), F.lit(1).alias("n")))
+            .unionByName(back).unionByName(ids)
+            .groupBy("doc_id").agg(F.sum("n").cast("long").alias("n_links")))
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
@@ -387,14 +444,10 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOL
     null and blank texts have no shingles and are linked with nothing. Repeated
     rows of one id each get their row. A document without an id takes part under
     the ids of its copies and gets its own null as component if it has none.
-    An empty table gives an empty result; other columns are ignored.
+    An empty table gives an empty result; other columns are ignored. Links
+    themselves are not listed or counted, see ``link_counts``.
     """
-    frequent, bits = frequent_shingles(docs, size)
-    narrow = cut_lineage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _prefixes(frequent, bits, size, threshold), "doc_id long, sid long, n long, least long, prefix array<long>"))
-    sets = (narrow.where("sid is not null and doc_id is not null").groupBy("sid")
-            .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("least").alias("least")))
-    sets = cut_lineage(sets)
+    narrow, sets = _sets(docs, size, threshold)
     edges = cut_lineage(link_edges(docs, narrow, sets, size, threshold))
     reps = sets.select("sid", "rep")
     by_rep = (edges.join(reps.select(F.col("sid").alias("src"), F.col("rep").alias("a")), "src")

@@ -97,3 +97,22 @@ def test_keep_one(make_docs, odd_rows, empty_docs):
     assert {r.doc_id for r in kept.collect()} == expected
     assert ngram_join.keep_one(make_docs(odd_rows)).count() == len(odd_rows)
     assert ngram_join.near_duplicates(empty_docs).collect() == []
+
+
+@pytest.mark.parametrize("size,threshold,part,queries", [(4, 85, 65_536, 64), (5, 80, 500, 2)])
+def test_every_link_is_counted(make_docs, monkeypatch, size, threshold, part, queries):
+    monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", part)
+    monkeypatch.setattr(ngram_join, "GROUP_QUERIES", queries)
+    rows = corpus(7, 60, 40, 5)
+    # repeated rows, ids with two texts, a null id and a null text
+    rows += [rows[0], (rows[1][0], rows[2][1]), (rows[3][0], rows[50][1]), (None, rows[4][1]), (900, None)]
+    links = {d: set() for d, _ in rows if d is not None}
+    sets = [(d, shingles(t, size)) for d, t in rows if d is not None]
+    for a, x in sets:
+        for b, y in sets:
+            if a != b and x and 100 * len(x & y) >= threshold * len(x | y):
+                links[a].add(b)
+    assert sum(map(len, links.values())) > 500
+    docs = make_docs([(d, t, "en") for d, t in rows])
+    got = ngram_join.link_counts(docs, size, threshold).collect()
+    assert sorted((r.doc_id, r.n_links) for r in got) == sorted((d, len(s)) for d, s in links.items())
