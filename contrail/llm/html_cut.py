@@ -32,19 +32,18 @@ ADJACENT, SIBLING = 0.6, 1.2
 CONTRAST = 0.25
 
 # Elements and name parts of HTML pages.
-SKIPPED = {"script", "style", "noscript", "template", "svg", "canvas", "iframe", "object", "head",
-           "title", "math", "audio", "video"}
-RAW = {"script", "style", "noscript", "template", "svg", "canvas", "iframe", "title", "textarea"}
+SKIPPED = {"script", "style", "noscript", "template", "iframe", "head", "title"}
+RAW = {"script", "style", "noscript", "template", "iframe", "title", "textarea"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details",
          "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3",
          "h4", "h5", "h6", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p",
          "pre", "search", "section", "select", "summary", "table", "tbody", "td", "textarea", "tfoot", "th",
-         "thead", "tr", "ul"}
+         "text", "thead", "tr", "ul"}
 # an opening tag ends these open elements
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPES = {"ul", "ol", "dl", "table", "select", "menu", "article", "section", "div", "body", "main", "td"}
+SCOPES = {"ul", "ol", "dl", "table", "select", "menu", "article", "section", "div", "body", "main", "td", "svg", "object"}
 BOILERPLATE_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option",
                     "textarea", "fieldset", "search"}
 CONTENT_TAGS = {"article", "main"}

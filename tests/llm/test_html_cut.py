@@ -65,3 +65,15 @@ def test_odd_rows(spark):
     assert got[2].text == got[3].text == got[4].text and got[2].n_chars == len(got[2].text) > 50
     assert got[5].text == "\n".join(["Long text here."] * 20_000)
     assert html_cut.extract(pages.limit(0)).collect() == []
+
+
+def test_formulas_labels_and_fallback_text_are_kept():
+    page = """<article><p>The area is <math><mi>A</mi><mo>=</mo><mi>b</mi><mi>h</mi></math> for every triangle.
+<p>A drawing <svg viewBox="0 0 9 9"><style>.t{}</style><path d="M0"/><text>The base of it.</text><text>The height of it.</text></svg>
+<object data="x"><p>The object is told here in words.</p></object>
+<video src="v">The film is told here in words.</video><audio src="a">So is the tune.</audio><canvas>And the plot.</canvas>
+<script>var no;</script><template><p>Not this.</p></template></article>"""
+    assert main_text(page, INITIAL).split("\n") == [
+        "The area is A=bh for every triangle.", "A drawing", "The base of it.", "The height of it.",
+        "The object is told here in words.",
+        "The film is told here in words.So is the tune.And the plot."]
