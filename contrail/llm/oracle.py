@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.llm import decontaminate, quality_rules
+from contrail.llm import decontaminate, embedding_dedup, prefix_trie, quality_rules, ranked_search
 from contrail.llm.queries import MIX_SEED, MIX_SHARE, MIX_WEIGHTS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -149,10 +149,84 @@ from p join m using (h)
 """
 
 
+def op11() -> str:
+    return f"""
+with v as (select vec_id, label, cast(embedding as double[]) as x from embeddings
+           where label is not null and embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+             and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+        and len(a.x) = len(b.x) and list_cosine_similarity(a.x, b.x) >= {embedding_dedup.THRESHOLD}),
+n as (select a, count(*) as n_links from p group by a),
+r as (with recursive reach as (select a, b from p union select r.a, p.b from reach r join p on r.b = p.a)
+      select a, min(b) as low from reach group by a)
+select vec_id, coalesce(n_links, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) as kept
+from embeddings left join n on vec_id = n.a left join r on vec_id = r.a
+"""
+
+
+def op12() -> str:
+    terms = (f"regexp_extract_all({_LOWER}, "
+             r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+    return rf"""
+with d as (select doc_id, {terms} as w from documents),
+s as (select count(*) as n_docs, sum(len(w)) as n_terms from d where len(w) > 0),
+m as (select doc_id, w, 50 + (50 * len(w) * n_docs) // n_terms as m from d, s where len(w) > 0),
+t as (select doc_id, m, term, count(*) as tf from (select doc_id, m, unnest(w) as term from m) group by all),
+q as (select distinct item_id, unnest({terms}) as term from benchmark),
+f as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as w
+      from t, s where term in (select term from q) group by term, n_docs),
+r as (select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score
+      from q join f using (term) join t using (term) group by item_id, doc_id)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank,
+       doc_id, score
+from r where score > 0
+qualify row_number() over (partition by item_id order by score desc, doc_id) <= {ranked_search.TOP}
+"""
+
+
+def op13() -> str:
+    # CRC-32 bit by bit over the decimal digits
+    crc = ("xor(list_reduce(list_transform(string_split(cast(conv_id as varchar), ''), lambda c: cast(ascii(c) as bigint)), "
+           "lambda a, c: list_reduce(range(0, 8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(a, c)), "
+           "4294967295), 4294967295)")
+    return f"""
+with o as (select conv_id, md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) as turn_md5,
+                  turn, strlen(coalesce(text, '')) as n from conversations where conv_id is not null),
+t as (select conv_id, turn_md5, n, row_number() over (partition by conv_id order by turn nulls first, turn_md5) as pos from o),
+c as (select conv_id, conv_id - conv_id % {prefix_trie.GROUP} as base, {crc} % {prefix_trie.HEADS} as h
+      from (select distinct conv_id from t)),
+r as (select c.conv_id, pos, turn_md5, n from c join t on c.base = t.conv_id where pos <= h
+      union all select conv_id, pos, turn_md5, n from c join t using (conv_id) where pos > h),
+l as (select conv_id, list(turn_md5 order by pos) as k, list(n order by pos) as b from r group by conv_id),
+a as (select conv_id, coalesce(k, []) as k, coalesce(b, []) as b from c left join l using (conv_id)),
+e as (select conv_id, d, array_to_string(k[1:d], ' ') as node, array_to_string(k[1:d - 1], ' ') as up, len(k) = d as ends,
+             case when d > 0 then b[d] else 0 end as n
+      from (select *, unnest(range(0, len(k) + 1)) as d from a)),
+g as (select node, d, any_value(case when d > 0 then up end) as up, min(conv_id) as conv_id, count(*) as n_convs,
+             any_value(n) * (count(*) - 1) as saved,
+             sha256(coalesce(string_agg(case when ends then cast(conv_id as varchar) end, ',' order by conv_id), '')) as ends_sha256
+      from e group by node, d),
+k as (select up, d - 1 as d, count(*) as n_children from g where d > 0 group by up, d),
+m as (select g.*, coalesce(n_children, 0) as n_children from g left join k on g.node = k.up and g.d = k.d),
+s as (select node, d, sum(leaf) as n_leaves, sum(saved) as saved_tokens
+      from (select array_to_string(string_split(node, ' ')[1:x], ' ') as node, x as d,
+                   cast(n_children = 0 as bigint) as leaf, saved
+            from (select *, unnest(range(0, d + 1)) as x from m)) group by node, d)
+select m.conv_id, m.d as depth, u.conv_id as parent_conv_id, m.n_convs, m.n_children,
+       cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens, m.ends_sha256
+from m join s on m.node = s.node and m.d = s.d left join g u on u.node = m.up and u.d = m.d - 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixture": op2(),
         "op6_benchmark_decontamination": op6(),
         "op8_quality_rules": op8(),
         "op10_warc_zip": op10(),
+        "op11_embedding_near_dedup": op11(),
+        "op12_ranked_search": op12(),
+        "op13_prefix_trie": op13(),
     }

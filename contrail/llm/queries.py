@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import (decontaminate, html_cut, language_id, license_scan, mixing, ngram_join,
-                          quality_rules, token_count, toxicity, warc_zip)
+from contrail.llm import (decontaminate, embedding_dedup, html_cut, language_id, license_scan, mixing,
+                          ngram_join, prefix_trie, quality_rules, ranked_search, token_count, toxicity, warc_zip)
 from contrail.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,22 @@ def op10_warc_zip(spark, folder):
     return warc_zip.archive_digest(table(spark, folder, "pages"))
 
 
+@query
+def op11_embedding_near_dedup(spark, folder):
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_ranked_search(spark, folder):
+    return ranked_search.ranked_search(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_prefix_trie(spark, folder):
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 @query
 def pipeline(spark, folder):
     """All stages of the corpus pipeline; it is imported here because it uses this module."""
