@@ -52,6 +52,24 @@ def add_rolling(daily: DataFrame, settings: Settings = Settings()) -> DataFrame:
         F.stddev_samp(flights).over(long).alias("rolling_30d_std"))
 
 
+def add_calendar_rolling(daily: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Rolling mean and deviation over calendar days: days that are missing take their place.
+
+    ``*_days`` counts the days present in each frame.
+    """
+    flights = F.col("military_flight_count")
+    ordered = Window.partitionBy("country_code").orderBy(F.unix_date("date_id"))
+    short = ordered.rangeBetween(1 - settings.smoothing_window_rows, Window.currentRow)
+    long = ordered.rangeBetween(1 - settings.baseline_window_rows, Window.currentRow)
+    return daily.select(
+        "*",
+        F.avg(flights).over(short).alias("calendar_7d_avg"),
+        F.count(flights).over(short).alias("calendar_7d_days"),
+        F.avg(flights).over(long).alias("calendar_30d_avg"),
+        F.stddev_samp(flights).over(long).alias("calendar_30d_std"),
+        F.count(flights).over(long).alias("calendar_30d_days"))
+
+
 def add_changes(daily: DataFrame) -> DataFrame:
     """Difference to the previous row and to the row seven places back."""
     flights = F.col("military_flight_count")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from contrail.config import Settings
 from contrail.functions import numeric
-from contrail.session import cut_lineage, discard
+from contrail.session import backed_by, cut_lineage, discard
 
 # Steps chained per job: fewer jobs against longer plans.
 STEPS_PER_JOB = 5
@@ -192,19 +192,26 @@ def component_roots(edges: DataFrame) -> DataFrame:
         .select(F.greatest("src", "dst").alias("high"), F.least("src", "dst").alias("low"))
         .distinct())
     if linked.isEmpty():
+        discard(linked)
         return nodes(edges).select("id", F.col("id").alias("root"))
     while True:
-        before, wide = linked, cut_lineage(_large_star(linked))
-        linked = cut_lineage(_small_star(wide))
-        discard(before, wide)
+        before, (wide, least) = linked, _large_star(linked)
+        wide = cut_lineage(wide)
+        linked, below = _small_star(wide)
+        linked = cut_lineage(linked)
+        discard(before, wide, least, below)
         if _is_forest_of_stars(linked):
             break
-    return (nodes(edges).join(linked, F.col("id") == F.col("high"), "left")
-            .select("id", F.coalesce("low", "id").alias("root")))
+    rooted = (nodes(edges).join(linked, F.col("id") == F.col("high"), "left")
+              .select("id", F.coalesce("low", "id").alias("root")))
+    return backed_by(rooted, linked)
 
 
-def _large_star(linked: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the smallest of its neighbourhood."""
+def _large_star(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Link every larger neighbour of a node to the smallest of its neighbourhood.
+
+    Also returns the written table that the links are read with.
+    """
     both = linked.select(F.explode(F.array(
         F.struct(F.col("high").alias("node"), F.col("low").alias("other")),
         F.struct(F.col("low").alias("node"), F.col("high").alias("other")))).alias("e")
@@ -212,16 +219,20 @@ def _large_star(linked: DataFrame) -> DataFrame:
     # written before it is joined back, so that a hub's rows can be split
     smallest = cut_lineage(
         both.groupBy("node").agg(F.least("node", F.min("other")).alias("target")))
-    return (both.filter(F.col("other") > F.col("node")).join(smallest, "node")
-            .select(F.col("other").alias("high"), F.col("target").alias("low")).distinct())
+    links = (both.filter(F.col("other") > F.col("node")).join(smallest, "node")
+             .select(F.col("other").alias("high"), F.col("target").alias("low")).distinct())
+    return links, smallest
+
 
+def _small_star(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Link a node and its smaller neighbours to the smallest of them.
 
-def _small_star(linked: DataFrame) -> DataFrame:
-    """Link a node and its smaller neighbours to the smallest of them."""
+    Also returns the written table that the links are read with.
+    """
     smallest = cut_lineage(linked.groupBy("high").agg(F.min("low").alias("target")))
     moved = (linked.join(smallest, "high").filter(F.col("low") != F.col("target"))
              .select(F.col("low").alias("high"), F.col("target").alias("low")))
-    return moved.unionByName(smallest.withColumnRenamed("target", "low")).distinct()
+    return moved.unionByName(smallest.withColumnRenamed("target", "low")).distinct(), smallest
 
 
 def _is_forest_of_stars(linked: DataFrame) -> bool:
@@ -329,7 +340,7 @@ def shortest_distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
         discard(before)
         if state.filter("moving").isEmpty():
             discard(hops)
-            return state.select("source", "node", "distance")
+            return backed_by(state.select("source", "node", "distance"), state)
 
 
 def _on_the_move(state: DataFrame, moving: str) -> DataFrame:
@@ -367,7 +378,7 @@ def path_sums(start: DataFrame, hops: DataFrame) -> DataFrame:
         discard(before)
         if state.filter(F.col("wave") > 0).isEmpty():
             discard(hops)
-            return state.select("source", "node", "total")
+            return backed_by(state.select("source", "node", "total"), state)
 
 
 def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
@@ -375,7 +386,9 @@ def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
     """Share of shortest paths through each node, weights taken as lengths.
 
     Exact at any size. The state is (source, node), so sources are worked in
-    batches of about ``state_rows`` such rows and the batches' sums added up.
+    batches of about ``state_rows`` such rows. What a source can reach at most is its
+    weakly connected component, which is what batches are sized by. Each batch is added
+    to one table of running sums, then its tables are deleted.
     A number of ``sources`` asks for an approximation from so many nodes, scaled
     up by their share. Weights have to be positive.
     """
@@ -386,24 +399,38 @@ def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
     chosen = (all_nodes.select(F.col("id").alias("source")) if sources is None
               else betweenness_sources(all_nodes, sources, seed))
     used = count if sources is None else min(sources, count)
-    batches = max(1, -(-used * count // state_rows))
-    through = []
+    batches = max(1, -(-_reach_rows(edges, chosen) // state_rows))
+    total = None
     for batch in range(batches):
         part = chosen.filter(F.pmod(F.xxhash64("source"), F.lit(batches)) == batch)
-        through.append(cut_lineage(_through_nodes(edges, part)))
+        through, scratch = _through_nodes(edges, part)
+        before = total
+        if before is not None:
+            through = before.unionByName(through)
+        total = cut_lineage(through.groupBy("id").agg(F.sum("through").alias("through")))
+        discard(*scratch, *([] if before is None else [before]))
     scale = count / max(used, 1)
     if count > 2:
         scale /= (count - 1) * (count - 2)
-    total = through[0]
-    for part in through[1:]:
-        total = total.unionByName(part)
-    total = total.groupBy("id").agg((F.sum("through") * F.lit(scale)).alias("through"))
     return all_nodes.join(total, "id", "left").select(
-        "id", F.coalesce("through", F.lit(0.0)).alias("betweenness"))
+        "id", F.coalesce(F.col("through") * F.lit(scale), F.lit(0.0)).alias("betweenness"))
+
+
+def _reach_rows(edges: DataFrame, sources: DataFrame) -> int:
+    """How many (source, node) pairs lie in one weakly connected component."""
+    roots = component_roots(edges)
+    rooted = cut_lineage(roots)
+    discard(roots)
+    sizes = rooted.groupBy("root").agg(F.count("*").alias("n"))
+    chosen = (sources.join(rooted, F.col("source") == F.col("id"))
+              .groupBy("root").agg(F.count("*").alias("sources")))
+    rows = sizes.join(chosen, "root").agg(F.sum(F.col("n") * F.col("sources"))).first()[0] or 0
+    discard(rooted)
+    return rows
 
 
-def _through_nodes(edges: DataFrame, sources: DataFrame) -> DataFrame:
-    """Dependencies of the given sources on every node, summed up."""
+def _through_nodes(edges: DataFrame, sources: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Dependencies of the given sources on every node, and the tables they are read from."""
     reach = shortest_distances(edges, sources)
     near = reach.select("source", F.col("node").alias("src"), F.col("distance").alias("near"))
     far = reach.select("source", F.col("node").alias("dst"), F.col("distance").alias("far"))
@@ -423,10 +450,11 @@ def _through_nodes(edges: DataFrame, sources: DataFrame) -> DataFrame:
     backward = tight.select("source", F.col("dst").alias("src"), F.col("src").alias("dst"))
     inverse = paths.select("source", "node", (F.lit(1.0) / F.col("paths")).alias("value"))
     shares = path_sums(inverse, backward)
-    return (paths.join(shares, ["source", "node"])
-            .filter(F.col("node") != F.col("source"))
-            .groupBy(F.col("node").alias("id"))
-            .agg(F.sum(F.col("paths") * F.col("total")).alias("through")))
+    through = (paths.join(shares, ["source", "node"])
+               .filter(F.col("node") != F.col("source"))
+               .groupBy(F.col("node").alias("id"))
+               .agg(F.sum(F.col("paths") * F.col("total")).alias("through")))
+    return through, [reach, tight, arrived, paths, shares]
 
 
 # --- the assembled table -------------------------------------------------

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 # Fixed value: flights of the last nation use an airport id that no nation has.
 LAST_NATION, UNKNOWN_AIRPORT = 24, 99
+# Line items of the test files lie in few row groups, which no reader splits: they are dealt
+# over so many tasks first, at every size. A table of many row groups needs no such step.
+LINE_TASKS = 16
 # Columns the fixtures read; a declared schema saves a file-sampling job per table.
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -75,7 +78,7 @@ def raw_flights(spark: SparkSession, folder: str, day: dt.date | None = None) ->
         "date(l_shipdate) as source_date",
         "unix_timestamp(timestamp(l_shipdate))"
         " + (l_orderkey * 37 + l_linenumber * 11) % 86400 as first_seen")
-    joined = (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    joined = (lines.repartition(LINE_TASKS).join(orders, lines["l_orderkey"] == orders["o_orderkey"])
               .join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]))
     return joined.selectExpr(
         "concat(' ', lpad(hex(coalesce(fleet, if(bursts and day(source_date) = 13"
@@ -148,6 +151,42 @@ def supplier_ranges(spark: SparkSession, folder: str) -> DataFrame:
             "if(s_suppkey % 3 != 0, concat('block ', string(s_suppkey)), null) as notes"))
 
 
+# The callsign blocks' prefixes by remainder of the supplier key.
+BLOCK_PREFIXES = ("RCH", "GAF", "CNV", "HAWK", "TITAN")
+
+
+def callsign_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlapping blocks of callsigns in text order, some of them empty: one per supplier."""
+    return (
+        table(spark, folder, "supplier")
+        .selectExpr("s_suppkey", f"get({_array(BLOCK_PREFIXES)}, int(s_suppkey % 5)) as prefix",
+                    "s_suppkey * 13 % 1000 as low")
+        .selectExpr("concat(prefix, string(low)) as block_start", "concat(prefix, string(low + 7)) as block_end",
+                    "s_suppkey as block_owner"))
+
+
+# Every so many parts go to the first supplier, the hub; suppliers with this
+# last digit deliver to nobody.
+HUB_EVERY, DANGLING_DIGIT = 10, 7
+
+
+def supply_links(spark: SparkSession, folder: str) -> DataFrame:
+    """A weighted graph of suppliers that grows with the data, as connections.
+
+    A supplier links to the one of the next line of the same order where 50 pieces are
+    delivered; there is a hub and there are nodes without outgoing edges.
+    """
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    following = lines.selectExpr("l_orderkey as o", "l_linenumber - 1 as n", "l_suppkey as next_supplier")
+    pairs = (lines.where(f"l_quantity = 50 and l_suppkey % 10 <> {DANGLING_DIGIT}")
+             .join(following, (F.col("l_orderkey") == F.col("o")) & (F.col("l_linenumber") == F.col("n")))
+             .selectExpr("concat('s', lpad(string(l_suppkey), 7, '0')) as origin_airport_id",
+                         f"concat('s', lpad(string(if(l_partkey % {HUB_EVERY} = 0, 1, next_supplier)), 7, '0'))"
+                         " as destination_airport_id", "1 + l_partkey % 5 as w"))
+    return (pairs.where("origin_airport_id <> destination_airport_id")
+            .groupBy("origin_airport_id", "destination_airport_id").agg(F.sum("w").alias("flight_count")))
+
+
 def state_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Events as positional vectors of text, one per row."""
     seconds = "string(unix_timestamp(timestamp(ts)))"

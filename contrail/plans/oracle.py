@@ -487,6 +487,70 @@ select r.id as airport_id, {even('r', 6)} as pagerank_score,
 from settled r join wdegree w on r.id = w.id join centrality b on r.id = b.id
 left join clustered c on r.id = c.id join communities m on r.id = m.id"""
 
+# --- the growing graph: recursion until nothing changes --------------------
+
+MODELS["supply_edges"] = """
+select a.src, a.dst, sum(w)::bigint as weight from (
+  select 's' || lpad(x.l_suppkey::varchar, 7, '0') as src,
+         's' || lpad((case when x.l_partkey % 10 = 0 then 1 else y.l_suppkey end)::varchar, 7, '0') as dst,
+         1 + x.l_partkey % 5 as w
+  from lineitem x join lineitem y on x.l_orderkey = y.l_orderkey and y.l_linenumber = x.l_linenumber + 1
+  where x.l_quantity = 50 and x.l_suppkey % 10 <> 7) a
+where a.src <> a.dst group by a.src, a.dst"""
+
+
+def _of_supply(model: str) -> str:
+    """A model over the growing graph instead of the airports."""
+    names = ("edges", "graph_nodes", "wdegree", "shares", "settled", "communities", "pairs", "triangles",
+             "clustered", "path_counts", "path_shares", "centrality", "tight")
+    return re.sub(rf"\b({'|'.join(names)})\b", r"supply_\1", MODELS[model])
+
+
+for _model in ("graph_nodes", "wdegree", "shares", "pairs", "triangles", "clustered", "centrality", "graph_mart"):
+    MODELS[f"supply_{_model}"] = _of_supply(_model)
+MODELS["supply_settled"] = f"""
+with recursive s as (
+  select 0 as step, id, 1::double / (select count(*) from supply_graph_nodes) as r, 1e9::double as change
+  from supply_graph_nodes
+  union all
+  select step, id, r, sum(abs(r - before)) over () as change from (
+    select p.step + 1 as step, p.id, p.r as before,
+           {ALPHA}::double * (coalesce(i.inflow, 0) + l.lost) + {1 - ALPHA}::double / l.n as r
+    from s p
+    left join (select h.dst, sum(h.share * q.r) as inflow from supply_shares h join s q on h.src = q.id
+               group by h.dst) i on p.id = i.dst
+    cross join (select coalesce(sum(case when id not in (select src from supply_edges) then r end), 0)
+                       / count(*) as lost, count(*) as n from s) l
+    where p.change >= l.n * 1e-6) n)
+select id, r from s where step = (select max(step) from s)"""
+MODELS["supply_communities"] = """
+with recursive u as (select src as a, dst as b from supply_edges union select dst, src from supply_edges),
+c as (select id, id as label from supply_graph_nodes union select u.b, c.label from c join u on u.a = c.id)
+select id, dense_rank() over (order by min(label)) - 1 as community_id from c group by id"""
+MODELS["supply_dist"] = """
+with recursive d(source, node, d) using key (source, node) as (
+  select id, id, 0::bigint from supply_graph_nodes
+  union
+  select n.source, n.node, n.d from (
+    select w.source, e.dst as node, min(w.d + e.weight) as d from d w join supply_edges e on w.node = e.src
+    group by w.source, e.dst) n
+  left join recurring.d r on r.source = n.source and r.node = n.node where r.d is null or n.d < r.d)
+select source, node, d from d"""
+MODELS["supply_tight"] = """
+select a.source, e.src, e.dst from supply_dist a join supply_edges e on a.node = e.src
+join supply_dist b on b.source = a.source and b.node = e.dst and b.d = a.d + e.weight"""
+for _name, _start, _from, _to in (
+        ("path_counts", "select id as source, id as node, 1::double as p from supply_graph_nodes", "src", "dst"),
+        ("path_shares", "select source, node, 1 / paths as p from supply_path_counts", "dst", "src")):
+    MODELS[f"supply_{_name}"] = f"""
+with recursive w as (
+  select 0 as step, source, node, p from ({_start}) s
+  union all
+  select any_value(w.step) + 1, t.source, t.{_to}, sum(w.p) from w
+  join supply_tight t on t.source = w.source and t.{_from} = w.node group by t.source, t.{_to})
+select source, node, sum(p) as {"paths" if _name == "path_counts" else "share"} from w
+where {"true" if _name == "path_counts" else "step > 0"} group by source, node"""
+
 MODELS["map_points"] = """
 select g.*, airport_name, country_code, latitude, longitude
 from graph_mart g left join staged_airports a on g.airport_id = a.airport_id
@@ -659,6 +723,17 @@ FINAL: dict[str, str] = {
     "clustering": _all_but("clustered", "clustering"),
     "betweenness": _all_but("centrality", "betweenness"),
     "airport_graph": "select * from graph_mart",
+    "supply_graph": "select * from supply_graph_mart",
+    "supply_betweenness": _all_but("supply_centrality", "betweenness"),
+    "rolling_calendar": f"""
+select date_id, country_code, military_flight_count,
+       count(*) over short as calendar_7d_days, count(*) over long as calendar_30d_days,
+       {rnd("avg(military_flight_count) over short")} as calendar_7d_avg,
+       {rnd("avg(military_flight_count) over long")} as calendar_30d_avg,
+       {rnd("stddev_samp(military_flight_count) over long")} as calendar_30d_std
+from daily window
+  short as (partition by country_code order by date_id range between interval 6 days preceding and current row),
+  long as (partition by country_code order by date_id range between interval 29 days preceding and current row)""",
     "dedup_pulls": _dedup(),
     "state_vectors": """
 select icao24, callsign, origin_country, seconds as time_position, seconds as last_contact,
@@ -769,6 +844,23 @@ select flight_id, icao24, range_start, range_end, country_code, military_branch
 from staged_flights f left join {_ranges_model} r
   on f.icao24 >= r.range_start and f.icao24 <= r.range_end"""
 
+FINAL["interval_classify"] = FINAL["range_classify_bucketed"]
+for _name, _ranges_model in (("interval_narrowest", "military_ranges"),
+                             ("interval_narrowest_growing", "supplier_ranges")):
+    FINAL[_name] = f"""
+select flight_id, icao24, range_start, range_end, country_code, military_branch
+from staged_flights f left join {_ranges_model} r
+  on f.icao24 >= r.range_start and f.icao24 <= r.range_end
+qualify row_number() over (partition by flight_id
+                           order by range_start desc, range_end, country_code, military_branch) = 1"""
+FINAL["interval_text_keys"] = """
+select flight_id, callsign, block_start, block_end, block_owner
+from staged_flights left join (
+  select prefix || low::varchar as block_start, prefix || (low + 7)::varchar as block_end, s_suppkey as block_owner
+  from (select s_suppkey, ['RCH', 'GAF', 'CNV', 'HAWK', 'TITAN'][1 + s_suppkey % 5] as prefix,
+               s_suppkey * 13 % 1000 as low from supplier) s) b
+  on callsign >= block_start and callsign <= block_end"""
+
 _LITERAL = re.compile(r"'[^']*'")
 _WORD = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 

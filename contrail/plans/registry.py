@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions import geo, numeric, time
-from contrail.operators import (activity, anomaly, enrich, graph, network, quality, ranges,
-                                routes, serving, staging)
+from contrail.operators import (activity, anomaly, enrich, graph, intervals, network, quality,
+                                ranges, routes, serving, staging)
 from contrail.plans import fixtures, pipeline
 from contrail.session import apply_settings, cut_lineage
 from contrail.sources import ingest
@@ -135,6 +135,43 @@ def range_classify_bucketed(spark, folder):
         blocks.select("range_start", "range_end", "country_code", "military_branch"))
 
 
+def _addresses(spark, folder):
+    return models(spark, folder).stg_flights.select("flight_id", "icao24")
+
+
+def _blocks(df):
+    return df.select("range_start", "range_end", "country_code", "military_branch")
+
+
+@query
+def interval_classify(spark, folder):
+    """The growing range table by sampled cells instead of key prefixes."""
+    return intervals.interval_join(
+        _addresses(spark, folder), _blocks(staging.stage_ranges(fixtures.supplier_ranges(spark, folder))))
+
+
+@query
+def interval_narrowest(spark, folder):
+    """The fixture's overlapping ranges, one per flight."""
+    return intervals.interval_join(_addresses(spark, folder), _blocks(models(spark, folder).stg_ranges),
+                                   resolve="narrowest")
+
+
+@query
+def interval_narrowest_growing(spark, folder):
+    return intervals.interval_join(
+        _addresses(spark, folder), _blocks(staging.stage_ranges(fixtures.supplier_ranges(spark, folder))),
+        resolve="narrowest")
+
+
+@query
+def interval_text_keys(spark, folder):
+    """Callsigns, which are any text, in blocks of callsigns."""
+    return intervals.interval_join(
+        models(spark, folder).stg_flights.select("flight_id", "callsign"),
+        fixtures.callsign_blocks(spark, folder), "callsign", "block_start", "block_end")
+
+
 @query
 def military_flights(spark, folder):
     return rounded(models(spark, folder).military_flights, "flight_duration_min",
@@ -181,6 +218,14 @@ def rolling_stats(spark, folder):
         "rolling_7d_avg", "rolling_30d_avg", "rolling_30d_std")
 
 
+@query
+def rolling_calendar(spark, folder):
+    """Frames of calendar days over series with gaps."""
+    doubles = ("calendar_7d_avg", "calendar_30d_avg", "calendar_30d_std")
+    return rounded(activity.add_calendar_rolling(daily(spark, folder)).select(
+        "date_id", "country_code", "military_flight_count", "calendar_7d_days", "calendar_30d_days", *doubles), *doubles)
+
+
 @query
 def lag_changes(spark, folder):
     return activity.add_changes(daily(spark, folder)).select(
@@ -259,6 +304,19 @@ def airport_graph(spark, folder):
     return _graph_table(spark, folder)
 
 
+@query
+def supply_graph(spark, folder):
+    """All graph metrics over a graph that grows with the data."""
+    return graph.airport_graph(fixtures.supply_links(spark, folder))
+
+
+@query
+def supply_betweenness(spark, folder):
+    """Exact betweenness of the growing graph."""
+    links = cut_lineage(graph.edges_from_connections(fixtures.supply_links(spark, folder)))
+    return rounded(graph.betweenness(links), "betweenness")
+
+
 # --- ingest --------------------------------------------------------------
 
 @query

@@ -72,6 +72,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return written
 
 
+def backed_by(df: DataFrame, written: DataFrame) -> DataFrame:
+    """``df``, which reads ``written`` alone; to discard it deletes that table."""
+    df.contrail_path = getattr(written, "contrail_path", None)
+    return df
+
+
 def discard(*written: DataFrame) -> None:
     """Delete the files behind results of ``cut_lineage`` that nothing reads any more."""
     for df in written:

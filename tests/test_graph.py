@@ -2,6 +2,7 @@ import heapq
 import itertools
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,6 +156,22 @@ def test_betweenness_is_exact_in_batches(spark, nodes, batches):
     assert as_dict(got, "betweenness") == pytest.approx(plain_betweenness(edges), abs=1e-12)
 
 
+def test_batches_leave_one_table_and_a_plan_of_constant_length(spark):
+    folder = Path(graph.cut_lineage(spark.range(1)).contrail_path).parent
+    edges = cut_lineage(frame(spark, random_edges(11, 12, 20)))
+    before, plans, left = spark.conf.get("spark.sql.shuffle.partitions"), [], []
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for rows in (75, 25):
+            held = set(folder.iterdir())
+            result = graph.betweenness(edges, state_rows=rows)
+            plans.append(len(result._jdf.queryExecution().analyzed().toString().split("\n")))
+            left.append(len(set(folder.iterdir()) - held))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert plans[0] == plans[1] and left == [1, 1]
+
+
 def test_betweenness_rejects_weights_that_are_not_positive(spark):
     for weight in (0, -1):
         with pytest.raises(ValueError):

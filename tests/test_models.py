@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import statistics
 
 import pandas as pd
 import pytest
@@ -140,7 +141,7 @@ def test_rank_ties_follow_the_date(spark):
             for r in got.collect()} == {("DE", 4): 1, ("DE", 2): 2, ("DE", 3): 3, ("US", 2): 1}
 
 
-def test_scores_match_a_data_frame_computation(spark):
+def test_scores_follow_their_definitions(spark):
     rng = random.Random(3)
     rows = [(d, c, rng.choice([3, 4, 5, 6, 7, 60] if rng.random() < 0.05 else [3, 4, 5, 6, 7]))
             for d in range(400) for c in ("DE", "US") if rng.random() < 0.9]
@@ -148,20 +149,26 @@ def test_scores_match_a_data_frame_computation(spark):
     df = daily(spark, rows).select(
         "*", (F.dayofweek("date_id") - 1).cast("bigint").alias("day_of_week"),
         F.lit(1).cast("bigint").alias("unique_aircraft_count"))
-    got = anomaly.anomaly_scores(df).toPandas().sort_values(["country_code", "date_id"])
-    pdf = df.toPandas().sort_values(["country_code", "date_id"]).reset_index(drop=True)
-    group = pdf.groupby(["country_code", "day_of_week"])["military_flight_count"]
-    mean, std = group.transform("mean"), group.transform("std")
-    z = ((pdf["military_flight_count"] - mean) / std).where(std > 0, 0.0)
-    level = pd.cut(z, [-float("inf"), 1.5, 2.5, 3.5, float("inf")],
-                   labels=["NORMAL", "ELEVATED", "HIGH", "CRITICAL"])
-    pct = pdf.groupby("country_code")["military_flight_count"].rank(pct=True)
-    assert got["z_score"].tolist() == pytest.approx(z.round(4).tolist(), abs=1e-9)
-    assert got["anomaly_level"].tolist() == level.astype(str).tolist()
-    assert got["percentile_rank"].tolist() == pytest.approx(pct.round(4).tolist(), abs=1e-9)
-    assert got["baseline_median"].tolist() == group.transform("median").tolist()
-    assert got["sample_count"].tolist() == group.transform("count").tolist()
-    assert "CRITICAL" in set(got["anomaly_level"])
+    flights = [(r["country_code"], r["day_of_week"], r["date_id"], r["military_flight_count"]) for r in df.collect()]
+    got = {(r["country_code"], r["date_id"]): r for r in anomaly.anomaly_scores(df).collect()}
+    assert len(got) == len(flights)
+    levels = set()
+    for country, weekday, day, n in flights:
+        # a day is compared with the same weekdays of its country
+        same = [f[3] for f in flights if f[:2] == (country, weekday)]
+        deviation = statistics.stdev(same) if len(same) > 1 else 0
+        z = (n - statistics.mean(same)) / deviation if deviation else 0.0
+        name = "NORMAL" if z <= 1.5 else "ELEVATED" if z <= 2.5 else "HIGH" if z <= 3.5 else "CRITICAL"
+        row = got[country, day]
+        assert row["z_score"] == pytest.approx(z, abs=5.1e-5)
+        assert (row["anomaly_level"], row["sample_count"]) == (name, len(same))
+        assert row["baseline_median"] == statistics.median(same)
+        # equal counts share the mean of the places that they take together
+        own = [f[3] for f in flights if f[0] == country]
+        below, equal = sum(x < n for x in own), own.count(n)
+        assert row["percentile_rank"] == pytest.approx((below + (equal + 1) / 2) / len(own), abs=5.1e-5)
+        levels.add(name)
+    assert "CRITICAL" in levels
     # the grouped form carries the same numbers
     base = anomaly.baseline(df).filter("country_code = 'JP'").first()
     assert (base["baseline_mean"], base["baseline_std"], base["sample_count"]) == (3.0, None, 1)
@@ -176,3 +183,18 @@ def test_statistics_share_one_shuffle(spark):
         F.lit(0.0).alias("avg_distance_km"), F.lit(0.0).alias("max_distance_km")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_calendar_frames_count_missing_days(spark):
+    first = dt.date(2026, 1, 1)
+    days = {0: 6, 1: 8, 5: 10, 7: 3, 8: 9, 29: 20, 30: 2, 70: 5}
+    df = spark.createDataFrame([(first + dt.timedelta(d), "DE", n) for d, n in days.items()],
+                               "date_id date, country_code string, military_flight_count long")
+    for row in activity.add_calendar_rolling(df).collect():
+        day = (row["date_id"] - first).days
+        for name, width in (("7d", 7), ("30d", 30)):
+            held = [n for d, n in days.items() if day - width < d <= day]
+            assert row[f"calendar_{name}_days"] == len(held)
+            assert row[f"calendar_{name}_avg"] == pytest.approx(sum(held) / len(held))
+        spread = statistics.stdev(held) if len(held) > 1 else None
+        assert row["calendar_30d_std"] == (None if spread is None else pytest.approx(spread))
