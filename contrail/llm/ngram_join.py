@@ -3,14 +3,16 @@
 1. Frequencies. Each task reduces its texts to sorted shingle hashes with counts
    and deals them out by hash range; merged ranges give the most frequent shingles.
    They go last in the order of shingles, everything else is ordered by hash.
-2. Sets. Each text becomes (set id, size, smallest hash, prefix); equal sets are
-   one from here on. A pair at the threshold shares a shingle of the larger set's
-   prefix and the smaller set's shorter prefix.
-3. Groups. Sets with the same first shingle in that order are similar with high
-   probability and form a group; groups are dealt into parts of bounded size. (With
-   the smallest hash of all shingles, texts that share only a common passage would
-   fill groups.)
-   The matrix has one entry per group and shingle of its token union.
+2. Sets. Each text becomes (set id, size, bands, prefix); equal sets are one from
+   here on. A pair at the threshold shares a shingle of the larger set's prefix and the
+   smaller set's shorter prefix.
+3. Groups. The space of hashes is cut into ``BANDS * ROWS`` bins; a band is the smallest
+   shingles of ``ROWS`` of them (one-permutation minima). Similar sets agree in most
+   bands, sets with only a passage in common in few. A set joins the band of its that most sets
+   share, so the near copies of one text end up in one group, whatever shingle each
+   of them has changed. Groups are dealt into parts of bounded size.
+   The matrix has one entry per group and shingle of its members' prefixes: the part of
+   the group's token union that the bound needs.
 4. Bound. Entries of query groups are joined with entries of groups; a group is
    opened only if the shared entries can add up to the overlap that the smallest
    admissible sizes ask for.
@@ -38,9 +40,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.shingles import U64, WordHashes, set_id, shingle_set
-from contrail.operators.graph import component_roots
-from contrail.session import cut_lineage
+from contrail.llm.components import smallest_members
+from contrail.llm.shingles import U64, WordHashes, mixed, set_id, shingle_set
+from contrail.session import cut_lineage, discard
 
 SIZE = 4
 # a link needs 100 * intersection >= THRESHOLD * union
@@ -48,16 +50,19 @@ THRESHOLD = 85
 # shingles that are ordered last: at most so many, each in so many texts at least
 FREQUENT = 500_000
 FREQUENT_FROM = 3
-MAX_LEVEL = 1_000
+# counts from this one on are told apart in steps of a sixteenth of a power of two
+EXACT_LEVELS = 1_000
 # hashes a task gathers before it deals out their counts
 COUNT_BUFFER = 6_000_000
+# bands of a set, and the minima that make one
+BANDS, ROWS = 6, 4
 # shingles in one part of a group; query groups that one task compares with it
 GROUP_SHINGLES = 65_536
 GROUP_QUERIES = 64
 # places of one set that are listed in one row
 ROLES = 1_000
 # roles up to this number are broadcast (about 40 bytes each), beyond it shuffled
-BROADCAST_ROLES = 500_000
+BROADCAST_ROLES = 100_000
 
 
 def query_prefix(n: int, threshold: int) -> int:
@@ -109,13 +114,15 @@ def _dealt_counts(size: int, ranges: int, bits: int):
 
 
 def _merged_counts(rows: pd.DataFrame) -> pd.DataFrame:
-    """Keys of one range by their count (counts from MAX_LEVEL on are one level)."""
+    """Keys of one range by their count, large counts by steps of it."""
     keys = np.concatenate([_unpack(k, U64) for k in rows["keys"]])
     counts = np.concatenate([np.frombuffer(zlib.decompress(c), np.uint32) for c in rows["counts"]])
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    totals = np.minimum(np.add.reduceat(counts[order].astype(np.int64), starts), MAX_LEVEL)
+    totals = np.add.reduceat(counts[order].astype(np.int64), starts)
+    steps = EXACT_LEVELS + np.floor(16 * np.log2(np.maximum(totals, EXACT_LEVELS) / EXACT_LEVELS)).astype(np.int64)
+    totals = np.where(totals < EXACT_LEVELS, totals, steps)
     keys = keys[starts]
     return pd.DataFrame([(n, int((totals == n).sum()), keys[totals == n].tobytes())
                          for n in np.unique(totals[totals >= FREQUENT_FROM]).tolist()],
@@ -135,7 +142,7 @@ def frequent_shingles(docs: DataFrame, size: int = SIZE) -> tuple[np.ndarray, in
         docs.select("text").mapInPandas(_dealt_counts(size, ranges, bits),
                                         "part long, keys binary, counts binary")
         .groupBy("part").applyInPandas(_merged_counts, "level long, n long, keys binary"))
-    # whole levels from the highest count down, as many as fit; at most MAX_LEVEL sums
+    # whole levels from the highest count down, as many as fit; there are some 1,500 levels at most
     held, least = 0, None
     for level, n in sorted(levels.groupBy("level").agg(F.sum("n")).collect(), reverse=True):
         held += n
@@ -145,11 +152,22 @@ def frequent_shingles(docs: DataFrame, size: int = SIZE) -> tuple[np.ndarray, in
     if least is None:
         return np.empty(0, U64), bits
     rows = levels.where(F.col("level") >= least).select("keys").collect()
+    discard(levels)
     return np.sort(np.concatenate([np.frombuffer(r.keys, U64) for r in rows])), bits
 
 
 # --- 2. sets -------------------------------------------------------------
 
+_EDGES = (np.arange(BANDS * ROWS, dtype=np.float64) * (2.0 ** 64 / (BANDS * ROWS))).astype(U64)
+
+
+def bands_of(tokens: np.ndarray) -> np.ndarray:
+    """Hashes of a sorted set's bands; a bin without shingles takes the next one's smallest."""
+    least = tokens[np.searchsorted(tokens, _EDGES) % len(tokens)].reshape(BANDS, ROWS)
+    factors = np.arange(3, 2 * ROWS + 3, 2, dtype=U64)
+    return mixed((mixed(least) * factors).sum(axis=1) + np.arange(BANDS, dtype=U64)).view(np.int64)
+
+
 def _prefixes(frequent: np.ndarray, bits: int, size: int, threshold: int):
     def is_frequent(tokens: np.ndarray) -> np.ndarray:
         if not len(frequent):
@@ -174,12 +192,12 @@ def _prefixes(frequent: np.ndarray, bits: int, size: int, threshold: int):
                 if len(first) < wanted:
                     first = np.concatenate([first, tokens[last][:wanted - len(first)]])
                 prefix = first.view(np.int64)
-                rows.append((set_id(tokens), n, int(prefix[0]), prefix))
-            sid, n, least, prefix = zip(*rows) if rows else ((), (), (), ())
+                rows.append((set_id(tokens), n, bands_of(tokens), prefix))
+            sid, n, bands, prefix = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sid, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(least, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-                names=["doc_id", "sid", "n", "least", "prefix"])
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))],
+                names=["doc_id", "sid", "n", "bands", "prefix"])
     return run
 
 
@@ -285,7 +303,8 @@ def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int =
     With ``every`` all pairs of linked sets, each of them once.
 
     ``narrow`` has (doc_id, sid, prefix) of every document, ``sets`` has
-    (sid, n, least, rep): distinct sets with the id of one document that holds each.
+    (sid, n, least, rep): distinct sets with the band that groups them and the id of one
+    document that holds each.
     """
     def overlap(a: str, b: str) -> str:
         return _least_overlap(a, b, threshold)
@@ -349,7 +368,7 @@ def link_edges(docs: DataFrame, narrow: DataFrame, sets: DataFrame, size: int =
                .distinct())
     nearest = cut_lineage(nearest)
     first = cut_lineage(_compared(docs, members, inner, nearest, size, threshold))
-    roots = component_roots(first)
+    roots = smallest_members(first)
     known = (members.join(roots, F.col("sid") == F.col("id"), "left")
              .groupBy("gid").agg(F.min(F.coalesce("root", "sid")).alias("low"),
                                  F.max(F.coalesce("root", "sid")).alias("high")))
@@ -397,10 +416,19 @@ def _sets(docs: DataFrame, size: int, threshold: int) -> tuple[DataFrame, DataFr
     """``narrow`` and ``sets`` as ``link_edges`` takes them."""
     frequent, bits = frequent_shingles(docs, size)
     narrow = cut_lineage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _prefixes(frequent, bits, size, threshold), "doc_id long, sid long, n long, least long, prefix array<long>"))
+        _prefixes(frequent, bits, size, threshold), "doc_id long, sid long, n long, bands array<long>, prefix array<long>"))
     sets = (narrow.where("sid is not null and doc_id is not null").groupBy("sid")
-            .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("least").alias("least")))
-    return narrow, cut_lineage(sets)
+            .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bands").alias("bands")))
+    sets = cut_lineage(sets)
+    # the band of each set that most sets share; a set that shares none is a group of its own
+    bands = sets.select("sid", F.explode("bands").alias("band"))
+    shared = cut_lineage(bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1"))
+    best = cut_lineage(bands.join(shared, "band").groupBy("sid").agg(F.max(F.struct("c", "band")).alias("best"))
+                       .select(F.col("sid").alias("s"), F.col("best.band").alias("band")))
+    grouped = cut_lineage(sets.join(best, F.col("sid") == F.col("s"), "left").select(
+        "sid", "rep", "n", F.coalesce("band", F.col("bands")[0]).alias("least")))
+    discard(sets, shared, best)
+    return narrow, grouped
 
 
 def link_counts(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
@@ -453,7 +481,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOL
     by_rep = (edges.join(reps.select(F.col("sid").alias("src"), F.col("rep").alias("a")), "src")
               .join(reps.select(F.col("sid").alias("dst"), F.col("rep").alias("b")), "dst")
               .select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    roots = component_roots(by_rep)
+    roots = smallest_members(by_rep)
     component = (reps.join(roots, F.col("rep") == F.col("id"), "left")
                  .select("sid", F.coalesce("root", "rep").alias("root")))
     return (narrow.select("doc_id", "sid", F.col("n").alias("n_shingles"))
