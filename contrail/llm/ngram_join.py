@@ -53,7 +53,7 @@ FREQUENT_FROM = 3
 # counts from this one on are told apart in steps of a sixteenth of a power of two
 EXACT_LEVELS = 1_000
 # hashes a task gathers before it deals out their counts
-COUNT_BUFFER = 6_000_000
+COUNT_BUFFER = 3_000_000
 # bands of a set, and the minima that make one
 BANDS, ROWS = 6, 4
 # shingles in one part of a group; query groups that one task compares with it
