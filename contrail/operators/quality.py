@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from contrail.functions import numeric
@@ -176,6 +176,58 @@ def run_suite(models: Mapping[str, DataFrame],
                          (F.col("failures") == 0).alias("passed"))
 
 
+class Watch:
+    """The suite as a by-product of jobs that run anyway.
+
+    ``add`` attaches a model's row-level checks to a DataFrame as observed metrics,
+    which are counted while it is written or read by another write. ``report`` needs
+    passes of its own only for ``unique``, for models that were not added, and to
+    count unexpected values where there are any. A stage that runs again after the loss
+    of an executor can be counted again: what passes does so all the same.
+    """
+
+    def __init__(self, suite: Sequence[Check] = SUITE) -> None:
+        self.suite = suite
+        self.observations: dict[str, Observation] = {}
+
+    def add(self, model: str, df: DataFrame) -> DataFrame:
+        counts = [_row_count(c).alias(c.name) for c in self.suite if c.model == model and c.kind != "unique"]
+        if not counts:
+            return df
+        self.observations[model] = Observation()
+        return df.observe(self.observations[model], *counts, F.count(F.lit(1)).alias("rows"))
+
+    def report(self, models: Mapping[str, DataFrame]) -> DataFrame:
+        """As ``run_suite``, after the jobs that read what was added."""
+        known, rest = [], []
+        for c in self.suite:
+            if c.kind == "unique" or c.model not in self.observations:
+                rest.append(c)
+                continue
+            # an input that is empty for certain is not counted at all
+            seen = self.observations[c.model].get or {}
+            failures = seen.get(c.name, 0) or 0
+            if c.kind == "accepted_values" and failures:
+                rest.append(c)
+            elif c.kind == "max_ratio":
+                known.append((c, int(failures * 100.0 > c.args["limit"] * seen.get("rows", 0))))
+            else:
+                known.append((c, failures))
+        spark = next(iter(models.values())).sparkSession
+        rows = spark.createDataFrame([(c.name, c.model, c.column, n, n == 0) for c, n in known],
+                                     "check string, model string, column string, failures bigint, passed boolean")
+        return rows.unionByName(run_suite(models, rest)) if rest else rows
+
+
+def _row_count(check: Check) -> Column:
+    """Rows that a check is about; observed metrics cannot count distinct values."""
+    if check.kind == "accepted_values":
+        return numeric.count_if(_unexpected(check.column, check.args["values"]))
+    if check.kind == "max_ratio":
+        return numeric.count_if(F.col(check.column))
+    return _failure_count(check)
+
+
 def _labels(check: Check) -> list[Column]:
     return [F.lit(check.name).alias("check"), F.lit(check.model).alias("model"),
             F.lit(check.column).alias("column")]

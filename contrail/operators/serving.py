@@ -40,7 +40,12 @@ def ordered_scores(scores: DataFrame) -> DataFrame:
 # --- network map ---------------------------------------------------------
 
 def located_airports(graph: DataFrame, airports: DataFrame) -> DataFrame:
-    """Graph metrics with place names; airports without coordinates are left out."""
+    """Graph metrics with place names; airports without coordinates are left out.
+
+    A table that has coordinates already keeps its own.
+    """
+    if {"latitude", "longitude"} <= set(graph.columns):
+        return graph.dropna(subset=["latitude", "longitude"])
     place = airports.select("airport_id", "airport_name", "country_code", "latitude",
                             "longitude")
     return graph.join(place, "airport_id", "left").dropna(subset=["latitude", "longitude"])
@@ -65,6 +70,44 @@ def network_map(graph: DataFrame, airports: DataFrame, countries: Sequence[str]
                         "hub_rank", metric, "betweenness_centrality", "marker_size")
 
 
+# Metrics that a marker's size can follow, and the columns of the ranking.
+MARKER_METRICS = ("pagerank_score", "total_degree")
+RANKING_COLUMNS = ("hub_rank", "airport_id", "airport_name", "country_code", "pagerank_score",
+                   "total_degree", "betweenness_centrality")
+
+
+def marker_metric(points: DataFrame) -> str | None:
+    """The metric that a table of airports offers, if any."""
+    return next((m for m in MARKER_METRICS if m in points.columns), None)
+
+
+def airport_map(table: DataFrame, airports: DataFrame, countries: Sequence[str] | None = None) -> DataFrame:
+    """Map points of whichever airport table is there: graph metrics, network mart or seed.
+
+    The columns of the ranking that it has, coordinates and marker sizes; those are
+    scaled over all airports before any country filter, and equal without a metric.
+    """
+    points = located_airports(table, airports)
+    metric = marker_metric(points)
+    size = F.lit(200.0)
+    if metric:
+        # one row of extremes meets all points
+        low, high = points.agg(F.min(metric), F.max(metric)).first()
+        size = marker_size(F.col(metric), F.lit(low), F.lit(high)) if low is not None else size
+    shown = [c for c in RANKING_COLUMNS if c in points.columns]
+    sized = points.select(*shown, "latitude", "longitude", size.alias("marker_size"))
+    return sized.filter(F.col("country_code").isin(*countries)) if countries else sized
+
+
+def map_ranking(points: DataFrame, k: int = 15) -> DataFrame:
+    """The first ``k`` points by their metric, after any country filter; by id without one."""
+    metric = marker_metric(points)
+    shown = [c for c in RANKING_COLUMNS if c in points.columns]
+    ordered = points.orderBy(F.col(metric).desc_nulls_last(), "airport_id") if metric else points.orderBy(
+        F.col("airport_id").desc())
+    return ordered.limit(k).select(*shown)
+
+
 def network_kpis(graph: DataFrame, airports: DataFrame,
                  metric: str = "pagerank_score") -> DataFrame:
     """One row: airports on the map, countries, name of the top hub."""
@@ -87,6 +130,12 @@ def country_choice(points: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("airports")).orderBy("country_code"))
 
 
+def country_days(mart: DataFrame) -> DataFrame:
+    """Country codes of a daily mart with the number of their days, for a selector."""
+    return (mart.filter(F.col("country_code").isNotNull()).groupBy("country_code")
+            .agg(F.count(F.lit(1)).alias("days")).orderBy("country_code"))
+
+
 def hub_ranking(graph: DataFrame, metric: str = "pagerank_score", k: int = 20) -> DataFrame:
     if metric not in graph.columns:
         raise ValueError(f"no metric {metric}; present: {graph.columns}")

@@ -844,6 +844,49 @@ select flight_id, icao24, range_start, range_end, country_code, military_branch
 from staged_flights f left join {_ranges_model} r
   on f.icao24 >= r.range_start and f.icao24 <= r.range_end"""
 
+_STAMPED = (f"select {', '.join(RAW_COLUMNS)}, null::varchar as _source_airport, "
+            "null::varchar as _source_direction, make_timestamp((firstSeen + 86400) * 1000000) as loaded_at, "
+            f"date '{LOAD_DATE}' as source_date from raw_flights")
+FINAL["stamped_flights"] = _STAMPED
+FINAL["append_round_trip"] = _STAMPED.replace(
+    " callsign,", " case when firstSeen % 2 <> 0 then callsign end as callsign,")
+FINAL["seed_round_trip"] = "select * from staged_airports"
+FINAL["mart_round_trip"] = FINAL["route_performance"]
+FINAL["refresh_run"] = FINAL["anomaly_scores"]
+_BY_DATE = "partition by country_code order by date_id"
+FINAL["incremental_refresh"] = f"""
+select country_code, military_flight_count,
+       {rnd(f"avg(military_flight_count) over ({_BY_DATE} rows 6 preceding)")} as rolling_7d_avg,
+       {rnd(f"avg(military_flight_count) over ({_BY_DATE} rows 29 preceding)")} as rolling_30d_avg,
+       {rnd(f"stddev_samp(military_flight_count) over ({_BY_DATE} rows 29 preceding)")} as rolling_30d_std,
+       military_flight_count - lag(military_flight_count) over ({_BY_DATE}) as day_over_day_change,
+       military_flight_count - lag(military_flight_count, 7) over ({_BY_DATE}) as week_over_week_change,
+       date_id
+from daily"""
+FINAL["network_in_order"] = """
+select row_number() over (order by total_flights desc, airport_id) as position, airport_id, total_flights
+from network"""
+FINAL["flags_in_order"] = """
+select row_number() over (order by date_id desc, simple_z_score desc, country_code) as position,
+       date_id, country_code, simple_z_score from flags"""
+FINAL["scores_in_order"] = """
+select row_number() over (order by date_id, z_score desc, country_code) as position,
+       date_id, country_code, z_score from scored"""
+_SIZE = ("case when max(total_degree) over () > min(total_degree) over () "
+         "then (total_degree - min(total_degree) over ())::double "
+         "/ (max(total_degree) over () - min(total_degree) over ()) * 800 + 50 else 200::double end")
+FINAL["map_of_network"] = f"""
+select airport_id, airport_name, country_code, total_degree, latitude, longitude, {rnd(_SIZE)} as marker_size
+from network where latitude is not null and longitude is not null"""
+FINAL["map_of_seed"] = """
+select airport_id, airport_name, country_code, latitude, longitude, 200::double as marker_size
+from staged_airports where latitude is not null and longitude is not null"""
+FINAL["map_top_countries"] = f"""
+select airport_id, airport_name, country_code, total_degree from network
+where latitude is not null and longitude is not null and country_code in {MAP_COUNTRIES}
+order by total_degree desc, airport_id limit 15"""
+FINAL["series_countries"] = "select country_code, count(*) as days from activity group by 1"
+
 FINAL["interval_classify"] = FINAL["range_classify_bucketed"]
 for _name, _ranges_model in (("interval_narrowest", "military_ranges"),
                              ("interval_narrowest_growing", "supplier_ranges")):

@@ -32,25 +32,31 @@ class RunResult:
     alerts: DataFrame
 
 
-def flight_models(raw: DataFrame, airport_seed: DataFrame, range_seed: DataFrame) -> Models:
-    """The view layers from raw flights to military flights."""
+def flight_models(raw: DataFrame, airport_seed: DataFrame, range_seed: DataFrame,
+                  watch: quality.Watch | None = None) -> Models:
+    """The view layers from raw flights to military flights.
+
+    With ``watch`` the staged flights are checked while the enriched ones are made.
+    """
     flights = staging.stage_flights(raw)
     airports = staging.stage_airports(airport_seed)
     ranges = staging.stage_ranges(range_seed)
-    classified = enrich.classify_flights(flights, ranges)
+    classified = enrich.classify_flights(watch.add("stg_flights", flights) if watch else flights, ranges)
     enriched = enrich.enrich_flights(classified, airports)
     return Models(flights, airports, ranges, classified, enriched,
                   enrich.military_flights(enriched))
 
 
-def build_tables(models: Models, settings: Settings = Settings()) -> dict[str, DataFrame]:
+def build_tables(models: Models, settings: Settings = Settings(),
+                 watch: quality.Watch | None = None) -> dict[str, DataFrame]:
     """All models by name.
 
     Enriched flights are written once; the route measures, the daily counts and
     the checks read them from there. Both aggregates are small next to the flights
     and are written as well; every mart is derived from them.
     """
-    enriched = cut_lineage(models.flights_enriched)
+    enriched = cut_lineage(watch.add("flights_enriched", models.flights_enriched) if watch
+                           else models.flights_enriched)
     military = enrich.military_flights(enriched)
     without_places = enriched.drop(*(f"{end}_{c}" for end in ("origin", "destination")
                                      for c in ("airport_name", "city", "country", "lat", "lon")))
@@ -84,12 +90,13 @@ MARTS = ("flight_performance", "airport_network", "military_activity", "anomaly_
 def run_pipeline(spark: SparkSession, raw: DataFrame, airport_seed: DataFrame,
                  range_seed: DataFrame, settings: Settings = Settings()) -> RunResult:
     """Publish the views, refresh the marts, check everything, collect the alerts."""
-    built = build_tables(flight_models(raw, airport_seed, range_seed), settings)
+    watch = quality.Watch()
+    built = build_tables(flight_models(raw, airport_seed, range_seed, watch), settings, watch)
     for name in VIEWS:
         tables.publish_view(built[name], name)
     tables.create_schema(spark, settings.marts_schema)
     for name in MARTS:
         built[name] = tables.overwrite_table(
-            built[name], tables.table_name(settings.marts_schema, name))
-    checks = cut_lineage(quality.run_suite(built))
+            watch.add(name, built[name]), tables.table_name(settings.marts_schema, name))
+    checks = cut_lineage(watch.report(built))
     return RunResult(built, checks, serving.alert_digest(built["anomaly_scores"]))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.config import Settings
 from contrail.functions import geo, numeric, time
 from contrail.operators import (activity, anomaly, enrich, graph, intervals, network, quality,
                                 ranges, routes, serving, staging)
-from contrail.plans import fixtures, pipeline
-from contrail.session import apply_settings, cut_lineage
-from contrail.sources import ingest
+from contrail.plans import fixtures, incremental, pipeline
+from contrail.session import apply_settings, cut_lineage, scratch_path
+from contrail.sources import ingest, schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -20,6 +24,8 @@ _QUERIES: dict[str, Query] = {}
 # Digits of doubles that are not rounded by the model itself.
 COMPARE_DIGITS = 6
 LOAD_DATE = "1998-01-15"
+# days whose deliveries come late
+LATE_DAYS = ("1994-03-13", "1996-09-13", "1998-02-20")
 SERIES_COUNTRY = "DE"
 MAP_COUNTRIES = ("EU", "AS")
 
@@ -45,10 +51,10 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 # --- shared inputs -------------------------------------------------------
 
-def models(spark: SparkSession, folder: str) -> pipeline.Models:
+def models(spark: SparkSession, folder: str, watch: quality.Watch | None = None) -> pipeline.Models:
     return pipeline.flight_models(
         fixtures.raw_flights(spark, folder), fixtures.airport_metadata(spark, folder),
-        fixtures.military_ranges(spark))
+        fixtures.military_ranges(spark), watch)
 
 
 def connections(spark, folder):
@@ -369,16 +375,140 @@ def load_flights(spark, folder):
     return ingest.complete_columns(ingest.stamp_flights(raw, LOAD_DATE)).drop("loaded_at")
 
 
+@query
+def stamped_flights(spark, folder):
+    """With a load time, a day after the flight."""
+    return _stamped(spark, folder)
+
+
+def _stamped(spark, folder):
+    raw = fixtures.raw_flights(spark, folder).drop(*ingest.TAG_COLUMNS)
+    return ingest.complete_columns(ingest.stamp_flights(
+        raw, LOAD_DATE, F.timestamp_seconds(F.col("firstSeen") + 86_400)))
+
+
+@contextmanager
+def _schema(spark):
+    """A schema of this call alone; it is dropped with its tables."""
+    name = f"call_{uuid.uuid4().hex}"
+    tables.create_schema(spark, name)
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+@query
+def append_round_trip(spark, folder):
+    """Two appends, the first without a column, read back from the catalog."""
+    rows = _stamped(spark, folder)
+    even = F.col("firstSeen") % 2 == 0
+    with _schema(spark) as schema:
+        name = tables.table_name(schema, "raw_flights")
+        tables.append_table(rows.where(even).drop("callsign"), name, schemas.RAW_FLIGHTS, "source_date")
+        tables.append_table(rows.where(~even), name, schemas.RAW_FLIGHTS, "source_date")
+        return cut_lineage(ingest.complete_columns(tables.read_table(spark, name)))
+
+
+@query
+def seed_round_trip(spark, folder):
+    """The airport seed as a CSV file with a header."""
+    path = scratch_path(spark)
+    fixtures.airport_metadata(spark, folder).write.option("header", True).csv(path)
+    return staging.stage_airports(tables.read_seed(spark, path, schemas.AIRPORT_METADATA))
+
+
+@query
+def mart_round_trip(spark, folder):
+    """A view and a mart over it; the mart is found by a list of preferences."""
+    with _schema(spark) as schema:
+        view = f"{schema}_routes"
+        tables.publish_view(performance(spark, folder), view)
+        name = tables.table_name(schema, "flight_performance")
+        tables.overwrite_table(tables.read_table(spark, view).limit(0), name)
+        empty = tables.first_available(spark, f"{schema}.absent", name)
+        tables.overwrite_table(tables.read_table(spark, view), name)
+        if empty is not None or not {"flight_performance", view} <= set(tables.list_tables(spark, schema)):
+            raise RuntimeError("the catalog does not show what was written")
+        found = cut_lineage(tables.first_available(spark, f"{schema}.absent", name))
+        spark.catalog.dropTempView(view)
+        return found
+
+
+@query
+def refresh_run(spark, folder):
+    """The whole daily refresh; what its anomaly mart holds afterwards."""
+    with _schema(spark) as schema:
+        pipeline.run_pipeline(
+            spark, fixtures.raw_flights(spark, folder), fixtures.airport_metadata(spark, folder),
+            fixtures.military_ranges(spark), Settings(marts_schema=schema))
+        return cut_lineage(tables.read_table(spark, tables.table_name(schema, "anomaly_scores")))
+
+
+@query
+def incremental_refresh(spark, folder):
+    """Marts without a few days' deliveries, then with them: only touched months are written again."""
+    raw = fixtures.raw_flights(spark, folder)
+    late = F.col("source_date").isin([dt.date.fromisoformat(d) for d in LATE_DAYS])
+
+    def counts(rows):
+        return activity.daily_military_counts(pipeline.flight_models(
+            rows, fixtures.airport_metadata(spark, folder), fixtures.military_ranges(spark)).military_flights)
+
+    with _schema(spark) as schema:
+        names = [tables.table_name(schema, n) for n in ("daily_counts", "rolling")]
+        incremental.build_marts(counts(raw.where(~late)), *names)
+        days = incremental.touched_days(raw.where(late))
+        incremental.refresh_marts(spark, counts(incremental.raw_of_months(raw, days)), days, *names)
+        return rounded(cut_lineage(tables.read_table(spark, names[1])).drop("month_id"),
+                       "rolling_7d_avg", "rolling_30d_avg", "rolling_30d_std")
+
+
 @query
 def load_summary(spark, folder):
     return serving.load_summary(fixtures.raw_flights(spark, folder))
 
 
+# --- marts in order ------------------------------------------------------
+
+@query
+def network_in_order(spark, folder):
+    """The network mart with each row's place in its order."""
+    return _in_order(models_network(spark, folder), F.col("total_flights").desc(), F.col("airport_id")).select(
+        "position", "airport_id", "total_flights")
+
+
+def models_network(spark, folder):
+    return network.airport_network(connections(spark, folder), models(spark, folder).stg_airports)
+
+
+@query
+def flags_in_order(spark, folder):
+    flags = activity.anomaly_flags(activity.military_activity(daily(spark, folder)))
+    return _in_order(flags, F.col("date_id").desc(), F.col("simple_z_score").desc(), F.col("country_code")).select(
+        "position", "date_id", "country_code", "simple_z_score")
+
+
+@query
+def scores_in_order(spark, folder):
+    return _in_order(scores(spark, folder), F.col("date_id"), F.col("z_score").desc(), F.col("country_code")).select(
+        "position", "date_id", "country_code", "z_score")
+
+
+def _in_order(mart, *order):
+    return graph.number_rows(mart, "position", *order)
+
+
 # --- quality -------------------------------------------------------------
 
 @query
 def dq_suite(spark, folder):
-    return quality.run_suite(pipeline.build_tables(models(spark, folder)))
+    """Checks that are counted while the models are written."""
+    watch = quality.Watch()
+    built = pipeline.build_tables(models(spark, folder, watch), watch=watch)
+    for name in pipeline.MARTS:
+        built[name] = cut_lineage(watch.add(name, built[name]))
+    return watch.report(built)
 
 
 @query
@@ -456,6 +586,32 @@ def hub_ranking_betweenness(spark, folder):
     return _hubs(spark, folder, "betweenness_centrality")
 
 
+@query
+def map_of_network(spark, folder):
+    """The map where there are no graph metrics: the network mart with its own places."""
+    return rounded(serving.airport_map(models_network(spark, folder), models(spark, folder).stg_airports), "marker_size")
+
+
+@query
+def map_of_seed(spark, folder):
+    """The map where there is the airport seed alone."""
+    airports = models(spark, folder).stg_airports
+    return serving.airport_map(airports, airports)
+
+
+@query
+def map_top_countries(spark, folder):
+    """The 15 best connected airports of two countries."""
+    points = serving.airport_map(models_network(spark, folder), models(spark, folder).stg_airports, MAP_COUNTRIES)
+    return serving.map_ranking(points)
+
+
+@query
+def series_countries(spark, folder):
+    """Countries of the activity mart, with their days."""
+    return serving.country_days(activity.military_activity(daily(spark, folder)))
+
+
 @query
 def top_routes_distance(spark, folder):
     """The longest routes."""

@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     # the JVM leaves methods above 8000 bytes of bytecode to its interpreter;
     # wide expressions are faster in smaller generated pieces
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # rows that a Python worker gets at a time; whole texts can be long
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 SESSION_SETTINGS = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,13 +67,25 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+@contextmanager
+def _partition_overwrite(spark: SparkSession, mode: str):
+    """The overwrite mode within a block; given as a writer's option it would stay with the table."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def overwrite_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Full refresh of a table; returns the stored rows."""
     writer = df.write.format("parquet").mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(name)
+    with _partition_overwrite(df.sparkSession, "static"):
+        writer.saveAsTable(name)
     df.sparkSession.catalog.refreshTable(name)
     return df.sparkSession.table(name)
 
@@ -128,11 +142,6 @@ def replace_partitions(df: DataFrame, name: str, schema: T.StructType,
     out = df.hint("rebalance", F.col(partition_by)).observe(
         written, F.count(F.lit(1)).alias("rows")).select(*order)
     # insertInto takes the mode from the session only
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
+    with _partition_overwrite(spark, "dynamic"):
         out.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
     return written.get["rows"]

@@ -2,6 +2,7 @@ import pytest
 
 from contrail.operators import quality
 from contrail.operators.quality import Check
+from contrail.session import cut_lineage
 
 
 def test_single_checks(spark):
@@ -63,3 +64,19 @@ def test_suite_holds_all_declared_checks():
     assert {k: kinds.count(k) for k in set(kinds)} == {
         "not_null": 21, "unique": 5, "accepted_range": 5, "accepted_values": 2,
         "no_negative": 1, "max_value": 1, "max_ratio": 1}
+
+
+def test_watched_writes_report_what_the_suite_finds(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, "X", True), ("a", -1.0, "X", False), (None, 1441.0, "Y", True),
+         ("c", None, "Z", False), ("d", 3.0, "Z", False)], "k string, v double, c string, f boolean")
+    suite = [Check("m", "k", "unique"), Check("m", "k", "not_null"), Check("m", "v", "no_negative"),
+             Check("m", "v", "accepted_range", {"low": 0, "high": 1440}), Check("m", "f", "max_ratio", {"limit": 20.0}),
+             Check("m", "c", "accepted_values", {"values": ("X",)}), Check("other", "k", "not_null"),
+             Check("none", "k", "not_null"), Check("none", "c", "accepted_values", {"values": ("X",)})]
+    for rows in (df, df.where("f and c = 'X'")):
+        models = {"m": rows, "other": df, "none": df.limit(0)}
+        watch = quality.Watch(suite)
+        written = {name: cut_lineage(watch.add(name, models[name])) for name in ("m", "none")}
+        got = watch.report({**written, "other": df}).collect()
+        assert sorted(got) == sorted(quality.run_suite(models, suite).collect())

@@ -102,3 +102,20 @@ def test_ordered_marts(spark, scores):
     network = spark.createDataFrame([("B", 1), ("A", 1), ("C", 2)],
                                     "airport_id string, total_flights bigint")
     assert [r["airport_id"] for r in serving.ordered_network(network).collect()] == ["C", "A", "B"]
+
+
+def test_the_map_takes_whichever_table_is_there(spark):
+    seed = spark.createDataFrame([("A", "Alpha", "DE", 1.0, 2.0), ("B", "Beta", "US", 3.0, 4.0), ("C", "Gamma", "US", None, 4.0)],
+                                 "airport_id string, airport_name string, country_code string, latitude double, longitude double")
+    mart = seed.selectExpr("*", "case airport_id when 'A' then 4 else 8 end as total_degree")
+    scored = spark.createDataFrame([("A", 0.75, 1, 0.0), ("B", 0.25, 2, 0.0), ("X", 0.1, 3, 0.0)],
+                                   "airport_id string, pagerank_score double, hub_rank int, betweenness_centrality double")
+    sizes = {}
+    for name, table in (("graph", scored), ("mart", mart), ("seed", seed)):
+        points = serving.airport_map(table, seed)
+        sizes[name] = {r["airport_id"]: r["marker_size"] for r in points.collect()}
+        shown = serving.map_ranking(points).columns
+        assert ("hub_rank" in shown, "total_degree" in shown) == (name == "graph", name == "mart")
+    assert sizes == {"graph": {"A": 850.0, "B": 50.0}, "mart": {"A": 50.0, "B": 850.0}, "seed": {"A": 200.0, "B": 200.0}}
+    assert [r["airport_id"] for r in serving.map_ranking(serving.airport_map(mart, seed, ["US"])).collect()] == ["B"]
+    assert serving.airport_map(mart.limit(0), seed).isEmpty()
