@@ -43,6 +43,8 @@ def op8() -> str:
         f"select doc_id, stratum, base_failed, '{r}' as rule, "
         f"case when {d} > 0 then {c} * 1000 // {d} else 0 end as value from m"
         for r, (c, d) in rules)
+    trials = values.replace("select doc_id, stratum, base_failed,", "select stratum, quality,").replace(
+        " from m", " from once")
     return rf"""
 with t as (select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text,
                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda x: x <> '') as w,
@@ -55,7 +57,7 @@ r as (select doc_id, count(distinct i + k) as n
       from (select doc_id, i, unnest(range(0, 3)) as k
             from g join (select doc_id, win from g group by all having count(*) > 1) using (doc_id, win))
       group by doc_id),
-m as (select doc_id, stratum, cast(len(w) as bigint) as n_words,
+m as (select doc_id, stratum, md5(text) as th, cast(len(w) as bigint) as n_words,
              cast(length(array_to_string(w, '')) as bigint) as word_chars,
              cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
              cast(length(regexp_replace(text, '[^!]', '', 'g')) as bigint) as n_exclamations,
@@ -66,7 +68,11 @@ m as (select doc_id, stratum, cast(len(w) as bigint) as n_words,
       from t left join r using (doc_id)),
 v as ({values}),
 k as (select doc_id, min(quality) as quality from labels where quality is not null group by doc_id),
-h as (select stratum, rule, value, quality from v join k using (doc_id) where not base_failed),
+once as (select * replace (min(quality) over (partition by stratum, th) as quality)
+         from (select * from m join k using (doc_id) where not base_failed
+               qualify row_number() over (partition by doc_id order by th, stratum) = 1)
+         qualify row_number() over (partition by stratum, th order by doc_id) = 1),
+h as ({trials}),
 tests as (select count(distinct stratum) * {len(rules)} * {len(quality_rules.CUTOFFS)} as n_tests from h),
 tot as (select stratum, rule, cast(sum(cast(quality = 1 as int)) as double) as n from h group by all),
 c as (select stratum, rule, cutoff, sum(cast(quality = 1 as int)) as g, sum(cast(quality = 0 as int)) as b

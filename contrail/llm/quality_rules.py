@@ -126,18 +126,23 @@ def certified_cutoffs(measures: DataFrame, labels: DataFrame, *, stratum: str =
                       confidence: float = CONFIDENCE) -> DataFrame:
     """Rows (stratum, rule, cutoff, n_good, good_rejected, bad_rejected), at most one per rule.
 
-    ``measures`` has doc_id, the stratum and ``q``. Labels of one document that
-    disagree count as bad; rows with a null id or label are not used.
+    ``measures`` has doc_id, the stratum, ``q`` and ``th``, a hash of the text. Trials are
+    independent only if nothing counts twice: an id counts once, however often its row is
+    repeated (the text of the smallest hash, if it has several), and so does a text within
+    a stratum, however many ids hold it. Labels of one document or of one text that disagree
+    count as bad; rows with a null id or label are not used.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"))
     values = F.array(*(F.struct(F.lit(r).alias("rule"), F.least(measure(r), F.lit(max(CUTOFFS) + 1))
                                 .alias("value")) for r in RULES))
     # per stratum, rule and value: a small histogram of good and bad documents
-    histogram = (measures.where(~base_failed())
-                 .select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"),
-                         values.alias("values"))
-                 .join(known, "doc_id").select("stratum", "quality", F.inline("values"))
+    once = (measures.where(~base_failed())
+            .select("doc_id", F.struct("th", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"),
+                                       values.alias("values")).alias("m"))
+            .join(known, "doc_id").groupBy("doc_id").agg(F.min("m").alias("m"), F.min("quality").alias("quality")))
+    histogram = (once.groupBy("m.stratum", "m.th").agg(F.min("quality").alias("quality"), F.min("m.values").alias("values"))
+                 .select("stratum", "quality", F.inline("values"))
                  .groupBy("stratum", "rule", "value")
                  .agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"),
                       F.sum((F.col("quality") == 0).cast("long")).alias("bad")))
@@ -182,7 +187,7 @@ def quality_digest(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     stratum is a stratum of its own.
     """
     stratum = options.get("stratum", "lang")
-    narrow = cut_lineage(measured(docs.select("doc_id", stratum, "text")).drop("text"))
+    narrow = cut_lineage(measured(docs.select("doc_id", stratum, "text")).withColumn("th", F.md5("text")).drop("text"))
     result = judged(narrow, certified_cutoffs(narrow, labels, **options), stratum)
     return result.select("doc_id", *(F.col(f"q.{c}") for c in DIGEST[1:-2]), *DIGEST[-2:])
 
@@ -194,6 +199,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """
     stratum = options.get("stratum", "lang")
     wide = cut_lineage(measured(docs.select(F.struct("*").alias("row"), "doc_id", stratum, "text"))
-                       .drop("text"))
-    cutoffs = certified_cutoffs(wide.select("doc_id", stratum, "q"), labels, **options)
+                       .withColumn("th", F.md5("text")).drop("text"))
+    cutoffs = certified_cutoffs(wide.select("doc_id", stratum, "q", "th"), labels, **options)
     return judged(wide, cutoffs, stratum).where("kept").select("row.*")

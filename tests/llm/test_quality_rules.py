@@ -73,3 +73,21 @@ def test_odd_rows(make_docs, odd_rows, empty_docs, labels):
     assert all(r.base_failed and not r.kept for r in got)
     assert quality_rules.quality_digest(empty_docs, labels([])).collect() == []
     assert quality_rules.keep_good(empty_docs, some).collect() == []
+
+
+def test_repeated_rows_and_texts_are_one_trial(make_docs, labels):
+    rng = random.Random(6)
+    words = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(13)]
+    rows = [(i, w.replace(" ", " ### ") if i < 3 else w, "en") for i, w in enumerate(words)]
+    known = [(i, int(i >= 3), 0) for i in range(13)]
+    repeated = rows * 300
+    copied = rows + [(100 * k + i, t, lang) for i, t, lang in rows for k in range(1, 60)]
+    copied_known = known + [(100 * k + i, q, t) for i, q, t in known for k in range(1, 60)]
+    for docs, marks in ((rows, known), (repeated, known), (copied, copied_known)):
+        measures = quality_rules.measured(make_docs(docs)).withColumn("th", F.md5("text"))
+        assert quality_rules.certified_cutoffs(measures, labels(marks)).collect() == []
+    # the rows would do if they counted as different documents
+    other = [(100 * k + i, f"{t} z{k}", "en") for i, t, _ in rows for k in range(60)]
+    measures = quality_rules.measured(make_docs(other)).withColumn("th", F.md5("text"))
+    marks = [(100 * k + i, q, 0) for i, q, _ in known for k in range(60)]
+    assert [r.rule for r in quality_rules.certified_cutoffs(measures, labels(marks), max_false_rejection=0.25).collect()]
