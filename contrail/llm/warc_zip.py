@@ -44,6 +44,8 @@ PACKAGE_BYTES = 1 << 30
 BROADCAST_DIGESTS = 200_000
 # records of one package that one task reads in a row
 READ_RECORDS = 2_000
+# bytes of packages that one task reads back, about
+READ_BYTES = 1 << 22
 MANIFEST = "path string, size long, records long"
 
 
@@ -287,7 +289,9 @@ def read_archives(manifest: DataFrame) -> DataFrame:
     """Every record of the packages in a manifest, with the payload of responses."""
     ranges = manifest.select("path", "size").mapInPandas(
         _index, "path string, offsets array<long>, lengths array<long>")
-    return ranges.repartition(F.xxhash64("path", "offsets")).mapInArrow(
+    # a number: the offsets are small, and it is the bytes behind them that are read
+    parts = -(-(manifest.agg(F.sum("size")).first()[0] or 1) // READ_BYTES)
+    return ranges.repartition(parts, F.xxhash64("path", "offsets")).mapInArrow(
         _records, "page_id long, payload_bytes long, payload_digest string, record_type string, "
                   "refers_to long, url string, payload binary")
 

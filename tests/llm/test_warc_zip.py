@@ -84,3 +84,13 @@ def test_pages(spark, monkeypatch, tmp_path, digests, limit, min_bytes):
     by_id = {r.page_id: r for r in got}
     assert by_id[3].payload == b"x" * 300_000 and by_id[5].payload_digest == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
     assert warc_zip.archive_digest(pages.limit(0)).collect() == []
+
+
+def test_packages_are_read_back_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc_zip, "READ_BYTES", 1_000)
+    monkeypatch.setattr(warc_zip, "READ_RECORDS", 2)
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"page {i} " * 40) for i in range(60)], "page_id long, url string, html string")
+    manifest = warc_zip.write_archives(pages, f"{warc_zip.scratch_path(spark)}-archives")
+    read = warc_zip.read_archives(manifest)
+    assert read.rdd.getNumPartitions() == -(-sum(r["size"] for r in manifest.collect()) // 1_000) > 3
+    assert sorted(r["page_id"] for r in read.select("page_id").collect()) == list(range(60))
