@@ -110,7 +110,9 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     sample = (_sampled(known.where("toxic = 1").select("doc_id"), MAX_POSITIVE)
               .withColumn("positive", F.lit(True))
               .unionByName(_sampled(ids, MAX_UNLABELLED).withColumn("positive", F.lit(False))))
+    # one text per sampled id, however often its row is repeated
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
             .select("positive", "text").mapInPandas(_features, "positive boolean, features binary")
             .toPandas())
     sets = [np.frombuffer(x, np.uint32) for x in rows["features"]]

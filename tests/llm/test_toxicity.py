@@ -53,3 +53,34 @@ def test_odd_rows(make_docs, odd_rows, empty_docs, labels):
     assert {r.predicted for r in toxicity.toxicity_scores(make_docs(odd_rows), labels([])).collect()} == {0}
     assert toxicity.toxicity_scores(empty_docs, some).collect() == []
     assert toxicity.drop_toxic(empty_docs, labels([])).collect() == []
+
+
+def test_a_sampled_id_is_one_text_however_often_it_is_repeated(make_docs, labels, monkeypatch):
+    rows, known = corpus(300)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda toxic, plain, prior: seen.append((len(toxic), len(plain))))
+    toxicity.train(make_docs(rows), labels(known))
+    toxicity.train(make_docs(rows + [rows[0]] * 3_000 + [(rows[8][0], "another text", "en")] * 2_000), labels(known))
+    assert seen[0] == seen[1]
+
+
+def test_fit_lowers_the_corrected_risk():
+    """Against the risk written out from its definition, with a numeric derivative at the end."""
+    rng = random.Random(5)
+    sets = [np.array(sorted({rng.randrange(40) for _ in range(8)} | ({100, 101} if i % 3 == 0 else set())), np.uint32)
+            for i in range(240)]
+    toxic, plain, prior = [s for s in sets if 100 in s][:40], sets, 0.33
+
+    def risk(weights, bias):
+        def loss(s, sign):
+            return float(np.log1p(np.exp(-sign * (bias + sum(weights.get(int(f), 0.0) for f in s)))))
+        as_toxic = np.mean([loss(s, 1) for s in toxic])
+        negative = np.mean([loss(s, -1) for s in plain]) - prior * np.mean([loss(s, -1) for s in toxic])
+        return prior * as_toxic + max(0.0, negative)
+
+    start = toxicity.fit(toxic, plain, prior, steps=1)
+    model = toxicity.fit(toxic, plain, prior, steps=400)
+    assert set(model.weights) >= {100, 101} and all(model.weights[f] > 0 for f in (100, 101))
+    assert risk(model.weights, model.bias) < risk(start.weights, start.bias) < risk({}, start.bias) + 1e-9
+    scores = [model.bias + sum(model.weights.get(int(f), 0.0) for f in s) for s in sets]
+    assert min(z for z, s in zip(scores, sets) if 100 in s) > max(z for z, s in zip(scores, sets) if 100 not in s)
