@@ -13,7 +13,8 @@ place; a chunk is a map from what the text before it left open to a count and wh
 it leaves open itself: the part before its first white space, the count of all that
 lies between, and the part after its last one. Such maps compose associatively, so
 a prefix scan over the chunks gives every position's count without a second look at
-the text.
+the text. A document's count is the last prefix, for which the upward half of the scan
+does; memory stays in proportion to the text, also where it has no white space.
 
 The count equals that of the library for the same file, without added special
 tokens; special strings inside a text count as one token each.
@@ -72,6 +73,15 @@ class WordTransducer:
         self.next: dict[int, int] = {}
         self.emit: dict[int, int] = {}
 
+    def restart(self, state: int) -> int:
+        """Forget all states but one; its new number."""
+        kept = self.states[state]
+        self.reset()
+        if kept != self.states[0]:
+            self.known[kept] = len(self.states)
+            self.states.append(kept)
+        return self.known[kept]
+
     def merged(self, symbols: list[str]) -> list[str]:
         """The encoding by its definition: the best-ranked pair first, leftmost of equals."""
         parts = list(symbols)
@@ -135,6 +145,10 @@ class WordTransducer:
         for byte in word[:-1]:
             key = state * 512 + byte
             if key not in moves:
+                if len(self.states) > 2 * MAX_STATES:
+                    # a very long word: go on with its state alone
+                    state, moves = self.restart(state), self.next
+                    key = state * 512 + byte
                 self.compile(key)
             state = moves[key]
             total += self.emit[key]
@@ -190,7 +204,7 @@ class Tokenizer:
     def plain(self, text: str) -> int:
         # each letter is lowered by itself: a final sigma is no exception
         lowered = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return sum(self.words.tokens(w.encode("utf-8", "replace")) for w in self.pattern.findall(lowered))
+        return sum(self.words.tokens(m[0].encode("utf-8", "replace")) for m in self.pattern.finditer(lowered))
 
     def span(self, span: str) -> int:
         """Tokens of a text without white space."""
@@ -228,7 +242,7 @@ class Tokenizer:
         if not text:
             return 0
         pieces = [self.chunk(text[i:i + chunk]) for i in range(0, len(text), chunk)]
-        return self.total(scan(pieces, self.join)[-1])
+        return self.total(folded(pieces, self.join))
 
 
 def scan(items: list, join: Callable) -> list:
@@ -240,6 +254,17 @@ def scan(items: list, join: Callable) -> list:
     return found
 
 
+def folded(items: list, join: Callable):
+    """All items under an associative ``join``: the upward half of a prefix scan.
+
+    Neighbours are joined in a logarithmic number of rounds. Only the last prefix is asked for, so the
+    other prefixes, which would each hold a text without white space up to their place, are not made.
+    """
+    while len(items) > 1:
+        items = [join(*items[i:i + 2]) if i + 1 < len(items) else items[i] for i in range(0, len(items), 2)]
+    return items[0]
+
+
 def token_count(definition: bytes, text: Column) -> Column:
     """A column with the number of tokens of ``text``."""
     @F.pandas_udf("long")

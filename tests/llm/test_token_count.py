@@ -1,10 +1,11 @@
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer as Library
 
-from contrail.llm.token_count import Tokenizer, scan, token_counts
+from contrail.llm.token_count import Tokenizer, folded, scan, token_counts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -56,3 +57,23 @@ def test_rows(make_docs, odd_rows, empty_docs, theirs):
     assert sorted(map(tuple, got), key=str) == sorted(
         ((i, len((t or "").encode()), theirs(t or ""), theirs(t or "") > 2048) for i, t, _ in odd_rows), key=str)
     assert token_counts(empty_docs, PATH).collect() == []
+
+
+@pytest.mark.parametrize("letters", ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "天地玄黄宇宙洪荒日月", "abcdefgh"])
+def test_long_texts_without_white_space_take_memory_in_proportion(ours, theirs, monkeypatch, letters):
+    monkeypatch.setattr("contrail.llm.token_count.MAX_STATES", 2_000)
+    rng = random.Random(3)
+    text = "".join(rng.choices(letters, k=15_000))
+    assert ours.tokens(text, 1_000) == theirs(text)
+    long = text * 4
+    tracemalloc.start()
+    count = ours.tokens(long, 1_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count > 3 * ours.tokens(text) and peak < 40 * len(long)
+
+
+def test_folding_is_the_last_prefix(ours):
+    text = "It's 12 words, joined-together" * 9 + " end"
+    pieces = [ours.chunk(text[i:i + 4]) for i in range(0, len(text), 4)]
+    assert ours.total(folded(pieces, ours.join)) == ours.total(scan(pieces, ours.join)[-1]) == ours.tokens(text)
