@@ -57,16 +57,41 @@ class Letters:
 
 def grams(codes: np.ndarray) -> Iterator[np.ndarray]:
     """Hashes of the n-grams of each size; a gram may begin or end, not pass, between words."""
-    padded = np.concatenate([[np.uint64(0)], codes, [np.uint64(0)]])
+    yield from _grams_from(np.concatenate([[np.uint64(0)], codes, [np.uint64(0)]]), None)
+
+
+def grams_of(text: str, letters: Letters) -> Iterator[tuple[np.ndarray, bool]]:
+    """``grams`` of a whole text, piece by piece, and whether the piece has letters.
+
+    What begins near the end of a piece is looked at together with the next one.
+    """
+    if len(text) <= PIECE:
+        codes = letters.codes(text)
+        yield from ((h, bool(codes.any())) for h in grams(codes))
+        return
+    end = np.zeros(1, np.uint64)
+    open_ = end
+    for i in range(0, len(text), PIECE):
+        open_ = np.concatenate([open_, letters.codes(text[i:i + PIECE])])
+        starts = max(0, len(open_) - max(SIZES) + 1)
+        some = bool(open_.any())
+        yield from ((h, some) for h in _grams_from(open_, starts))
+        open_ = open_[starts:]
+    open_ = np.concatenate([open_, end])
+    yield from ((h, bool(open_.any())) for h in _grams_from(open_, None))
+
+
+def _grams_from(padded: np.ndarray, starts: int | None) -> Iterator[np.ndarray]:
+    """The n-grams that begin at the first ``starts`` places, or at any."""
     for n in SIZES:
-        count = len(padded) - n + 1
+        count = len(padded) - n + 1 if starts is None else starts
         if count < 1:
             continue
         inner = np.ones(count, bool)
         for k in range(1, n - 1):
             inner &= padded[k:k + count] > 0
         if n == 2:
-            inner &= (padded[:count] > 0) | (padded[1:] > 0)
+            inner &= (padded[:count] > 0) | (padded[1:1 + count] > 0)
         at = np.flatnonzero(inner)
         h = np.full(len(at), np.uint64(n))
         for k in range(n):
@@ -117,12 +142,10 @@ class Filters:
         if not text or not self.languages:
             return UNDETERMINED, 0.0
         found, total, any_letter = np.zeros(len(self.languages), np.int64), 0, False
-        for i in range(0, len(text), PIECE):
-            codes = letters.codes(text[i:i + PIECE])
-            any_letter = any_letter or bool(codes.any())
-            for h in grams(codes):
-                found += self.counts(h)
-                total += len(h)
+        for h, some in grams_of(text, letters):
+            any_letter = any_letter or some
+            found += self.counts(h)
+            total += len(h)
         if not any_letter:
             return UNDETERMINED, 0.0
         corrected = np.maximum((found - total * self.chance) / (1 - np.minimum(self.chance, 0.999)), 0)
@@ -140,8 +163,7 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     letters = Letters()
     for batch in batches:
         for language, texts in batch.groupby("lang")["text"]:
-            parts = [h for t in texts if t for i in range(0, len(t), PIECE)
-                     for h in grams(letters.codes(t[i:i + PIECE]))]
+            parts = [h for t in texts if t for h, _ in grams_of(t, letters)]
             if parts:
                 keys, counts = np.unique(np.concatenate(parts), return_counts=True)
                 yield pd.DataFrame({"lang": language, "gram": keys.view(np.int64), "n": counts})

@@ -59,3 +59,15 @@ def test_odd_rows(make_docs, odd_rows, empty_docs):
     assert language_id.languages(empty_docs).collect() == []
     nothing = make_docs([(1, "some text", None), (2, "123 !", "en")])
     assert {r.lang_pred for r in language_id.languages(nothing).collect()} == {"und"}
+
+
+def test_borders_of_pieces_are_no_word_borders(monkeypatch):
+    letters, rng = Letters(), random.Random(8)
+    texts = ["".join(rng.choices("ab c", k=rng.randint(1, 60))) for _ in range(40)] + ["", "x", "  ", "日本語" * 9]
+    for text in texts:
+        whole = np.sort(np.concatenate([*grams(letters.codes(text)), np.empty(0, np.uint64)]))
+        for piece in (1, 2, 5, 1000):
+            monkeypatch.setattr(language_id, "PIECE", piece)
+            parts = list(language_id.grams_of(text, letters))
+            assert (np.sort(np.concatenate([*(h for h, _ in parts), np.empty(0, np.uint64)])) == whole).all()
+            assert any(some for _, some in parts) == any(c.isalpha() for c in text)
