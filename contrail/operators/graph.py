@@ -399,7 +399,9 @@ def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
     chosen = (all_nodes.select(F.col("id").alias("source")) if sources is None
               else betweenness_sources(all_nodes, sources, seed))
     used = count if sources is None else min(sources, count)
-    batches = max(1, -(-_reach_rows(edges, chosen) // state_rows))
+    # one batch is enough if all nodes in reach of all sources are
+    rows = used * count if used * count <= state_rows else _reach_rows(edges, chosen)
+    batches = max(1, -(-rows // state_rows))
     total = None
     for batch in range(batches):
         part = chosen.filter(F.pmod(F.xxhash64("source"), F.lit(batches)) == batch)

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import compare
 import pytest
 
@@ -34,6 +38,15 @@ def test_every_query_has_sql_and_the_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("package", ["xxhash", "contrail.llm"])
+def test_the_entry_does_without_what_only_the_optional_part_needs(package):
+    code = (f"import sys; sys.modules[{package!r}] = None; import __spark_entry__ as e; "
+            "assert not e.HAS_LLM and 'route_performance' in e.queries(); "
+            "assert set(e.oracle_sql()) == set(e.queries())")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_pipeline_refreshes_marts_and_reports(spark, small):
     inputs = (fixtures.raw_flights(spark, small), fixtures.airport_metadata(spark, small),
               fixtures.military_ranges(spark))
