@@ -1,15 +1,22 @@
 """Main text of web pages by a minimum cut between content and boilerplate.
 
 A page is read into blocks of text with the elements around them. A linear
-classifier gives each block a cost for either label; the costs are the capacities to
-the two terminals. Blocks next to each other, and more so blocks under the same
-parent, are joined by smoothness edges. The minimum cut is the labelling with the
-least total cost: a one-word paragraph between paragraphs stays, a long advert
-inside an article goes. Blocks whose own cost outweighs all their edges are settled
-at once, maximum flow decides the rest.
-
-The classifier starts from fixed weights and is adjusted to a bounded sample of
-pages (``SAMPLE_PAGES`` in a seeded order) whose elements say what they are.
+classifier of a block's own text gives a cost for either label; the costs are the
+capacities to the two terminals. Blocks next to each other, and those next to each
+other under one parent, are joined by smoothness edges, the stronger the nearer they
+are in the tree. The minimum cut is the labelling with the least total cost: a
+one-word paragraph between paragraphs stays, a sentence among links goes. Blocks
+whose own cost outweighs all their edges are settled at once, maximum flow decides
+the rest.
+
+All of it is learned from a bounded sample of pages (``SAMPLE_PAGES`` in a seeded
+order, ``SAMPLE_BLOCKS`` of each). Elements and names that say what they are label
+the sample's blocks. The classifier does not see them: it learns from words, links,
+sentence ends and the length of the blocks beside it. How often blocks at a distance in
+the tree agree gives the edges.
+What a declared role weighs is learned against the cut by text and edges alone, on
+pages that its classifier was not trained on; it weighs ``LEAST_HINT`` at least, since
+what is declared a menu, a form or comments is by definition not main text.
 """
 
 from __future__ import annotations
@@ -19,17 +26,25 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.session import cut_lineage, discard
+
 SAMPLE_PAGES = 400
+SAMPLE_BLOCKS = 500
 SEED = 5
-ADJACENT, SIBLING = 0.6, 1.2
+# bounds of what is learned: a block's cost by its text, an edge, a declared role
+MOST_COST, MOST_EDGE = 3.0, 3.0
+LEAST_HINT, MOST_HINT = 4.5, 8.0
+# steps in the tree from which on blocks are not joined
+FAR = 6
 # between blocks of which one only is inside a boilerplate element
-CONTRAST = 0.25
+CONTRAST = 0.1
 
 # Elements and name parts of HTML pages.
 SKIPPED = {"script", "style", "noscript", "template", "iframe", "head", "title"}
@@ -57,18 +72,20 @@ CONTENT_NAMES = set("article articlebody content entry main maincontent post sto
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
     number: int
     boilerplate: int
     content: int
+    over: Element | None = None
+    depth: int = 0
 
 
 @dataclass
@@ -76,9 +93,12 @@ class Block:
     text: str
     linked: int
     tag: str
+    element: Element
     parent: int
     boilerplate: int
     content: int
+    before: float = 0.0
+    behind: float = 0.0
     edges: dict[int, float] = field(default_factory=dict)
 
 
@@ -108,7 +128,7 @@ def blocks_of(page: str) -> list[Block]:
             while at > 0 and stack[at].tag not in BLOCK:
                 at -= 1
             here, over = stack[at], stack[max(0, at - 1)]
-            blocks.append(Block(body, len("".join("".join(linked).split())), here.tag, over.number,
+            blocks.append(Block(body, len("".join("".join(linked).split())), here.tag, here, over.number,
                                 here.boilerplate, here.content))
         text.clear()
         linked.clear()
@@ -170,7 +190,8 @@ def blocks_of(page: str) -> list[Block]:
         count += 1
         bad = tag in BOILERPLATE_TAGS or names_bad or tag == "header" and not over.content
         element = Element(tag, count, over.boilerplate + bad,
-                          over.content + (tag in CONTENT_TAGS or names_good and not names_bad))
+                          over.content + (tag in CONTENT_TAGS or names_good and not names_bad),
+                          over, over.depth + 1)
         if m[3].endswith("/") and tag not in BLOCK and tag not in SKIPPED:
             continue
         if tag in RAW:
@@ -180,55 +201,100 @@ def blocks_of(page: str) -> list[Block]:
         stack.append(element)
         skipping += tag in SKIPPED
     flush()
+    plain = [0.0, *(np.log1p((b.text.count(" ") + 1) * (1 - b.linked / len(b.text))) for b in blocks), 0.0]
+    for i, b in enumerate(blocks):
+        b.before, b.behind = plain[i], plain[i + 2]
     return blocks
 
 
 # --- costs ---------------------------------------------------------------
 
-# bias, words (log), share of linked text, sentence end, paragraph, heading, item, hints
-INITIAL = np.array([-1.2, 0.6, -3.0, 0.6, 1.0, 0.5, -0.8, -8.0, 3.0])
+class Model(NamedTuple):
+    """Weights of a block's text, edges by distance in the tree, weights of declared roles."""
+
+    weights: np.ndarray
+    edges: tuple[float, ...]
+    boilerplate: float
+    content: float
+
+
+# bias, words (log), share of linked text, sentence end, heading, share of other signs than letters,
+# words without links of the block before and of the one behind (log)
+INITIAL = Model(np.array([-3.0, 1.0, -4.0, 0.6, 0.8, -1.0, 0.3, 0.3]), (3.0, 2.0, 2.0, 0.5, 0.2, 0.0), -6.0, 2.0)
 
 
 def features(b: Block) -> list[float]:
-    return [1.0, min(np.log1p(b.text.count(" ") + 1), 4.0), b.linked / max(1, len(b.text)),
-            float(b.text[-1] in ".!?:;…»”\""), float(b.tag == "p"), float(b.tag in {"h1", "h2", "h3"}),
-            float(b.tag in {"li", "td", "th", "option", "dt", "dd"}),
-            float(min(b.boilerplate, 2)), float(min(b.content, 1))]
+    """What the classifier sees: text, links, whether it is a heading, the blocks beside it."""
+    letters = sum(map(str.isalpha, b.text))
+    spaces = b.text.count(" ")
+    return [1.0, min(np.log1p(spaces + 1), 5.0), b.linked / len(b.text), float(b.text[-1] in ".!?:;…»”\""),
+            float(b.tag in {"h1", "h2", "h3", "h4"}), 1 - letters / max(1, len(b.text) - spaces),
+            min(b.before, 5.0), min(b.behind, 5.0)]
 
 
-def fit(rows: list[list[float]], labels: list[float], pull: float = 0.05, steps: int = 300) -> np.ndarray:
-    """Logistic weights, pulled to the initial ones; the hints keep theirs."""
-    w = INITIAL.copy()
-    if not rows:
+def declared(b: Block) -> int:
+    """What the elements around a block say: -1 boilerplate, 1 content, 0 nothing."""
+    return -1 if b.boilerplate else int(b.content > 0)
+
+
+def costs_of(blocks: list[Block], model: Model) -> list[float]:
+    by_text = np.clip(np.array([features(b) for b in blocks]) @ model.weights, -MOST_COST, MOST_COST)
+    role = (0.0, model.content, model.boilerplate)
+    return [c + role[declared(b)] for c, b in zip(by_text.tolist(), blocks)]
+
+
+def fit(rows: list[list[float]], labels: list[float], pull: float = 0.002, steps: int = 800) -> np.ndarray:
+    """Logistic weights of labelled blocks, both labels weighing the same, pulled to the initial ones."""
+    w = INITIAL.weights.copy()
+    if not rows or len(set(labels)) < 2:
         return w
     x, y = np.array(rows), np.array(labels)
-    balance = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    balance = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (balance * (p - y)) + pull * (w - INITIAL)
-        grad[-2:] = 0
-        w = w - 0.5 * grad
+        w = w - 0.5 * (x.T @ (balance * (p - y)) + pull * (w - INITIAL.weights))
     return w
 
 
-# --- minimum cut ---------------------------------------------------------
+# --- edges and minimum cut -----------------------------------------------
+
+def distance(a: Element, b: Element) -> int:
+    """Steps from one element to the other through the tree, ``FAR`` at most."""
+    steps = 0
+    while a is not b and steps < FAR:
+        if a.depth < b.depth:
+            a, b = b, a
+        a, steps = a.over, steps + 1
+    return steps
 
-def connect(blocks: list[Block]) -> None:
-    """Smoothness edges: to the next block, and to the next one under the same parent."""
+
+def pairs(blocks: list[Block]) -> Iterator[tuple[int, int, int]]:
+    """(block, later block, distance): the next one, and the next one under the same parent."""
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):
-        if i:
-            _edge(blocks, i - 1, i, ADJACENT)
-        if b.parent in last:
-            _edge(blocks, last[b.parent], i, SIBLING)
+        for k in {i - 1, last.get(b.parent, i - 1)} - {-1}:
+            steps = distance(blocks[k].element, b.element)
+            if steps < FAR:
+                yield k, i, steps
         last[b.parent] = i
 
 
-def _edge(blocks: list[Block], a: int, b: int, capacity: float) -> None:
-    if bool(blocks[a].boilerplate) != bool(blocks[b].boilerplate):
-        capacity *= CONTRAST
-    blocks[a].edges[b] = blocks[a].edges.get(b, 0.0) + capacity
-    blocks[b].edges[a] = blocks[b].edges.get(a, 0.0) + capacity
+def connect(blocks: list[Block], edges: tuple[float, ...]) -> None:
+    """Smoothness edges by distance, weaker over the border of a boilerplate element."""
+    for a, b, steps in pairs(blocks):
+        capacity = edges[steps]
+        if bool(blocks[a].boilerplate) != bool(blocks[b].boilerplate):
+            capacity *= CONTRAST
+        if capacity:
+            blocks[a].edges[b] = blocks[b].edges[a] = capacity
+
+
+def edges_of(agree: np.ndarray, differ: np.ndarray) -> tuple[float, ...]:
+    """Log odds that two blocks agree, by distance; never stronger than at a smaller one."""
+    odds = np.log((agree + 1) / (differ + 1)).clip(0, MOST_EDGE)
+    # distances that were not seen keep their initial edge
+    odds = np.where(agree + differ > 0, odds, INITIAL.edges)
+    return tuple(np.minimum.accumulate(odds).tolist())
 
 
 def settle(costs: list[float], edges: list[dict[int, float]]) -> list[bool | None]:
@@ -299,42 +365,101 @@ def labelled(costs: list[float], edges: list[dict[int, float]]) -> list[bool]:
     return [bool(x) for x in label]
 
 
-def main_text(page: str | None, weights: np.ndarray) -> str:
+def labels_of(blocks: list[Block], model: Model) -> list[bool]:
+    """True for the blocks of the main text."""
+    if not blocks:
+        return []
+    for b in blocks:
+        b.edges.clear()
+    connect(blocks, model.edges)
+    return labelled(costs_of(blocks, model), [b.edges for b in blocks])
+
+
+def main_text(page: str | None, model: Model) -> str:
     """Content blocks of a page, one per line."""
     blocks = blocks_of(page) if page else []
-    if not blocks:
-        return ""
-    connect(blocks)
-    costs = (np.array([features(b) for b in blocks]) @ weights).tolist()
-    keep = labelled(costs, [b.edges for b in blocks])
-    return "\n".join(b.text for b, k in zip(blocks, keep) if k)
+    return "\n".join(b.text for b, keep in zip(blocks, labels_of(blocks, model)) if keep)
 
 
-# --- Spark ---------------------------------------------------------------
+# --- training ------------------------------------------------------------
 
-def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Features of blocks whose elements say what they are."""
-    for batch in batches:
-        rows = [(features(b), float(not b.boilerplate)) for page in batch["html"] if page
-                for b in blocks_of(page) if bool(b.boilerplate) != bool(b.content)]
-        yield pd.DataFrame(rows, columns=["x", "y"])
+def examples(page: str) -> tuple[list[list[float]], list[float], list[float], list[float]]:
+    """Features and labels of declared blocks, and how many pairs of them agree and differ by distance."""
+    blocks = blocks_of(page)
+    agree, differ = [0.0] * FAR, [0.0] * FAR
+    for a, b, steps in pairs(blocks):
+        if declared(blocks[a]) and declared(blocks[b]):
+            (agree if declared(blocks[a]) == declared(blocks[b]) else differ)[steps] += 1
+    known = [b for b in blocks if declared(b)]
+    known = known[::-(-len(known) // SAMPLE_BLOCKS) or 1]
+    return [features(b) for b in known], [float(declared(b) > 0) for b in known], agree, differ
+
+
+def role_counts(page: str, model: Model) -> list[float]:
+    """Blocks by label of the cut without roles and by role: boilerplate's -1, 0, 1, content's -1, 0, 1."""
+    counts = [0.0] * 6
+    blocks = blocks_of(page)
+    for b, keep in zip(blocks, labels_of(blocks, model._replace(boilerplate=0.0, content=0.0))):
+        counts[3 * keep + 1 + declared(b)] += 1
+    return counts
 
 
-def train(pages: DataFrame) -> np.ndarray:
-    """Weights from a bounded sample of pages."""
-    sample = (pages.where("html is not null and page_id is not null").select("page_id").distinct()
-              .orderBy(F.xxhash64(F.lit(SEED), "page_id"), "page_id").limit(SAMPLE_PAGES))
-    rows = (pages.select("page_id", "html").join(F.broadcast(sample), "page_id").select("html")
-            .mapInPandas(_examples, "x array<double>, y double").toPandas())
-    order = sorted(zip(map(list, rows["x"]), rows["y"]))
-    return fit([x for x, _ in order], [y for _, y in order])
+def role_weights(counts: np.ndarray) -> tuple[float, float]:
+    """Log likelihood ratios of the roles, boilerplate and content."""
+    share = (counts.reshape(2, 3) + 0.5) / (counts.reshape(2, 3) + 0.5).sum(axis=1, keepdims=True)
+    boilerplate, _, content = np.log(share[1] / share[0]).tolist()
+    return (-min(max(-boilerplate, LEAST_HINT), MOST_HINT), min(max(content, 0.0), LEAST_HINT))
 
 
-def extracted(weights: np.ndarray, page: str = "html") -> Column:
+def learned(rows: list[tuple]) -> Model:
+    """Weights and edges from ``examples`` of pages, roles left as they are."""
+    if not rows:
+        return INITIAL
+    order = sorted(z for x, y, _, _ in rows for z in zip(map(list, x), y))
+    agree, differ = (np.sum([r[k] for r in rows], axis=0) for k in (2, 3))
+    return INITIAL._replace(weights=fit([x for x, _ in order], [y for _, y in order]),
+                            edges=edges_of(agree, differ))
+
+
+# --- Spark ---------------------------------------------------------------
+
+def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame([(half, *examples(page)) for half, page in zip(batch["half"], batch["html"])],
+                           columns=["half", "x", "y", "agree", "differ"])
+
+
+def train(pages: DataFrame) -> Model:
+    """A model from a bounded sample of pages, one row of an id."""
+    ids = (pages.where("html is not null and page_id is not null").select("page_id").distinct()
+           .orderBy(F.xxhash64(F.lit(SEED), "page_id"), "page_id").limit(SAMPLE_PAGES))
+    sample = cut_lineage(
+        pages.select("page_id", "html").join(F.broadcast(ids), "page_id")
+        .groupBy("page_id").agg(F.min("html").alias("html"))
+        .select((F.xxhash64(F.lit(SEED + 1), "page_id") % 2 == 0).alias("half"), "html"))
+    rows = [tuple(r) for r in sample.mapInPandas(
+        _examples, "half boolean, x array<array<double>>, y array<double>, agree array<double>, "
+                   "differ array<double>").collect()]
+    halves = {half: learned([r[1:] for r in rows if r[0] != half]) for half in (True, False)}
+
+    def _roles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"n": [role_counts(page, halves[bool(half)])
+                                      for half, page in zip(batch["half"], batch["html"])]})
+
+    counts = [r["n"] for r in sample.mapInPandas(_roles, "n array<double>").collect()]
+    discard(sample)
+    if not counts:
+        return INITIAL
+    boilerplate, content = role_weights(np.sum(counts, axis=0))
+    return learned([r[1:] for r in rows])._replace(boilerplate=boilerplate, content=content)
+
+
+def extracted(model: Model, page: str = "html") -> Column:
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for pages in batches:
-            yield pd.Series([main_text(p, weights) for p in pages], dtype=object)
+            yield pd.Series([main_text(p, model) for p in pages], dtype=object)
     return text(page)
 
 
@@ -345,6 +470,6 @@ def extract(pages: DataFrame) -> DataFrame:
     each get their row; an empty table gives an empty result; other columns are
     ignored. No text is dropped for its length, nor any part of a content block.
     """
-    weights = train(pages)
-    return (pages.select("page_id", "url", extracted(weights).alias("text"))
+    model = train(pages)
+    return (pages.select("page_id", "url", extracted(model).alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

@@ -1,6 +1,9 @@
 import itertools
 import random
+import re
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from contrail.llm import html_cut
@@ -77,3 +80,74 @@ def test_formulas_labels_and_fallback_text_are_kept():
         "The area is A=bh for every triangle.", "A drawing", "The base of it.", "The height of it.",
         "The object is told here in words.",
         "The film is told here in words.So is the tune.And the plot."]
+
+
+def neutral(page):
+    """The same page with names and elements that say nothing."""
+    return re.sub(r"<(/?)(nav|article|footer)\b", r"<\1div", page.replace(' class="ad"', ""))
+
+
+def broken_up(page):
+    """Articles of several sections, every third paragraph cut down to its first word."""
+    count = itertools.count(1)
+
+    def paragraph(m):
+        n = next(count)
+        body = m[1].split(" ")[0] if n % 3 == 0 else m[1]
+        return ("</section><section>" if n % 4 == 0 else "") + f"<p>{body}</p>"
+
+    page = page.replace("<article>", "<article><section>").replace("</article>", "</section></article>")
+    return re.sub(r"<p>([^<]*)</p>", paragraph, page)
+
+
+def f1(kept, truth):
+    return 2 * sum(k and t for k, t in zip(kept, truth)) / (sum(kept) + sum(truth))
+
+
+@pytest.mark.parametrize("change", [lambda p: p, broken_up], ids=["as is", "broken up"])
+def test_cut_without_names_beats_the_sign_of_the_costs(change):
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet").sort_values("page_id")["html"].tolist()
+    halves = [html_cut.learned([html_cut.examples(p) for p in pages[1 - k::2]]) for k in (0, 1)]
+    truth, cut, sign, flow = [], [], [], 0
+    for k, model in enumerate(halves):
+        for page in map(change, pages[k::2]):
+            truth += [html_cut.declared(b) > 0 for b in blocks_of(page)]
+            blocks = blocks_of(neutral(page))
+            cut += html_cut.labels_of(blocks, model)
+            costs = html_cut.costs_of(blocks, model)
+            sign += [c > 0 for c in costs]
+            flow += html_cut.settle(costs, [b.edges for b in blocks]).count(None)
+    assert f1(cut, truth) >= 0.95 and f1(cut, truth) > f1(sign, truth) + 0.005
+    # the edges change labels, and the maximum flow decides some
+    assert cut != sign and flow > 0
+
+
+def test_roles_are_learned_within_their_bounds():
+    assert html_cut.role_weights(np.zeros(6)) == (-html_cut.LEAST_HINT, 0.0)
+    # every second boilerplate block taken for content: the least weight; none: more
+    assert html_cut.role_weights(np.array([100, 0, 0, 100, 0, 100.0]))[0] == -html_cut.LEAST_HINT
+    assert html_cut.role_weights(np.array([900, 0, 0, 1, 0, 900.0]))[0] < -html_cut.LEAST_HINT
+
+
+def test_edges_fall_with_the_distance():
+    agree, differ = np.array([0, 900, 5, 40, 0, 0.0]), np.array([0, 0, 5, 0, 9, 0.0])
+    found = html_cut.edges_of(agree, differ)
+    assert found[0] == found[1] == html_cut.MOST_EDGE and found[2] == found[3] == found[4] == 0
+    blocks = blocks_of("<div><p>a</p><p>b</p></div><section><p>c</p></section>")
+    assert list(html_cut.pairs(blocks)) == [(0, 1, 2), (1, 2, 4)]
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<article><p class="x>Hi there, you.</p><p>And more.</p></article>', "Hi there, you.\nAnd more."),
+    ("<article><p class=it's>Hi there, you.</p></article>", "Hi there, you.")])
+def test_unclosed_quotes_are_markup(page, text):
+    assert main_text(page, INITIAL) == text
+
+
+def test_repeated_ids_train_once(spark):
+    rows = [(1, "u", PAGE)] * 3000 + [(1, "u", PAGE + "x")] + [(2, "u", PAGE)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    model = html_cut.train(pages)
+    few = html_cut.train(pages.distinct())
+    assert model.edges == few.edges and model.weights.tolist() == few.weights.tolist()
+    assert model[2:] == few[2:] and html_cut.train(pages.limit(0)) is INITIAL
