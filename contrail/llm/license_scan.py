@@ -24,6 +24,7 @@ The templates are a parameter of bounded size
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from functools import cache
@@ -40,6 +41,8 @@ GRAM, WINDOW = 2, 2
 COVERAGE = 0.8
 MAX_TEMPLATE_WORDS = 200_000
 LONG = 100
+# alignments that are remembered for one template in one text
+MAX_ALIGNED = 50_000
 TEXTS = Path(__file__).parent / "licenses"
 
 # Wording of common notices.
@@ -143,7 +146,7 @@ def gram_hashes(words: list[bytes], hashes: WordHashes) -> np.ndarray:
     return total
 
 
-def aligned(template: list[bytes], words: list[bytes], diagonal: int, band: int):
+def aligned(template: list, words: list, diagonal: int, band: int):
     """(matched, first, behind) of the best alignment within the band, or None.
 
     Most matched template words in order, the shortest span of equals; ``diagonal``
@@ -206,9 +209,15 @@ def aligned_long(template: np.ndarray, text: np.ndarray, diagonal: int, band: in
 def apart(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
     """(matched, first, behind) of hits that do not overlap, the fullest ones first."""
     taken: list[tuple[int, int, int]] = []
+    # places of what is taken, in order
+    firsts: list[int] = []
+    ends: list[int] = []
     for negative, _, first, behind in sorted(set(found)):
-        if all(behind <= a or first >= b for _, a, b in taken):
+        at = bisect_left(firsts, behind)
+        if at == 0 or ends[at - 1] <= first:
             taken.append((-negative, first, behind))
+            firsts.insert(at, first)
+            ends.insert(at, behind)
     return taken
 
 
@@ -251,6 +260,7 @@ class Scanner:
             h = gram_hashes(words, self.hashes)
             for at in winnowed(h).tolist():
                 self.index[int(h[at])].append((t, at))
+        self.coded = {t: template.tolist() for t, template in self.short}
         # how often a template has each word; words of no template are 0
         self.limits = [np.bincount(words, minlength=len(self.numbers) + 1) for _, words in self.long]
         # the same of all short templates as one list: place in ``short``, word, times
@@ -295,22 +305,38 @@ class Scanner:
                 found[t].add(place - offset)
         return {t: sorted(d) for t, d in found.items()}
 
+    def best(self, t: int, near: np.ndarray, diagonal: int, band: int, coverage: float):
+        """(matched, first, behind) around a diagonal if enough words match, or None."""
+        template = self.coded[t]
+        # words in common bound what any alignment can match
+        if sum((Counter(near.tolist()) & Counter(template)).values()) < coverage * len(template):
+            return None
+        hit = aligned(template, near.tolist(), diagonal, band)
+        return hit if hit and hit[0] >= coverage * len(template) else None
+
     def matches(self, words: list[bytes], candidates: Mapping[int, list[int]], coverage: float):
         """Rows (template, coverage, matched, words, first, behind) that do not overlap."""
         rows = []
+        text = self.numbered(words) if candidates else None
         for t, diagonals in sorted(candidates.items()):
             name, template = self.templates[t]
             n = len(template)
             band = max(2, n // 8)
             found = []
+            # what a diagonal finds depends on the template's words near it alone; a notice
+            # that a text repeats is aligned once for all its places
+            known: dict[tuple[int, bytes], tuple[int, int, int] | None] = {}
             for d in diagonals:
-                near = words[max(0, d - band):d + n + band]
-                # words in common bound what any alignment can match
-                if sum((Counter(near) & Counter(template)).values()) < coverage * n:
-                    continue
-                hit = aligned(template, words, d, band)
-                if hit and hit[0] >= coverage * n:
-                    found.append((-hit[0], hit[2] - hit[1], hit[1], hit[2]))
+                low = max(0, d - band)
+                near = text[low:d + n + band]
+                key = (d - low, near.tobytes())
+                if key not in known:
+                    if len(known) >= MAX_ALIGNED:
+                        known.clear()
+                    known[key] = self.best(t, near, d - low, band, coverage)
+                hit = known[key]
+                if hit:
+                    found.append((-hit[0], hit[2] - hit[1], low + hit[1], low + hit[2]))
             rows += [(name, round(m / n, 6), m, n, first, behind) for m, first, behind in apart(found)]
         return sorted(rows, key=lambda r: (r[4], r[0]))
 

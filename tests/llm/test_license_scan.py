@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 
@@ -91,3 +92,42 @@ def test_rows_of_numbers_equal_single_cells():
         d, band = rng.randint(-15, 30), rng.randint(1, 6)
         assert license_scan.aligned_long(np.array(template), np.array(text, int), d, band) == license_scan.aligned(
             template, text, d, band)
+
+
+def test_repeated_notices_equal_single_alignments():
+    """Alignments that are shared between places are those of every place for itself."""
+    rng = random.Random(11)
+    name = "apache-2.0-header"
+    scanner = Scanner({name: TEMPLATES[name]})
+    template = words_of(TEMPLATES[name])
+    words = []
+    for _ in range(25):
+        copy = list(template)
+        if rng.random() < 0.4:
+            copy[rng.randrange(len(copy))] = rng.choice([b"changed", b"the"])
+        words += copy + [b"x"] * rng.randint(0, 3)
+    candidates = scanner.candidates(words)
+    band = max(2, len(template) // 8)
+    hits = [license_scan.aligned(template, words, d, band) for d in candidates[0]]
+    single = license_scan.apart([(-h[0], h[2] - h[1], h[1], h[2]) for h in hits if h and h[0] >= 0.8 * len(template)])
+    found = scanner.matches(words, candidates, 0.8)
+    assert sorted((m, a, b) for _, _, m, _, a, b in found) == sorted(single) and len(found) >= 20
+
+
+def test_many_copies_of_a_notice_in_one_text():
+    text = (TEMPLATES["apache-2.0-header"] + " Some words of the file. ") * 3000
+    began = time.monotonic()
+    rows = Scanner(TEMPLATES).scan(text, 0.8)
+    assert sum(r[0] == "apache-2.0-header" for r in rows) == 3000
+    assert time.monotonic() - began < 60
+
+
+def test_hits_apart_equal_the_plain_rule():
+    rng = random.Random(4)
+    for _ in range(200):
+        found = [(-rng.randint(1, 5), 0, a, a + rng.randint(1, 6)) for a in rng.choices(range(30), k=12)]
+        taken = []
+        for m, _, a, b in sorted(set(found)):
+            if all(b <= x or a >= y for _, x, y in taken):
+                taken.append((-m, a, b))
+        assert license_scan.apart(found) == taken
