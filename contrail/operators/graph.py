@@ -73,10 +73,10 @@ def number_rows(df: DataFrame, name: str, *order: Column) -> DataFrame:
     starts = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
     local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return (ranged.withColumn("_local", local)
-            .join(starts, "_part")
-            .withColumn(name, (F.col("_start") + F.col("_local")).cast("bigint"))
-            .drop("_part", "_local", "_start"))
+    return backed_by(ranged.withColumn("_local", local)
+                     .join(starts, "_part")
+                     .withColumn(name, (F.col("_start") + F.col("_local")).cast("bigint"))
+                     .drop("_part", "_local", "_start"), ranged)
 
 
 # --- PageRank ------------------------------------------------------------
@@ -314,71 +314,58 @@ def betweenness_sources(all_nodes: DataFrame, k: int, seed: int) -> DataFrame:
 def shortest_distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Length of the shortest path from each source to each node it reaches.
 
-    Rows that the last step improved are the frontier: they alone go along edges,
-    settled rows only meet their own "stay" row. Distances are relaxed until the
-    frontier is empty; extra steps change nothing, so steps can be chained freely.
+    Rows that the last step improved are the frontier: they alone go along edges, and
+    what they reach is merged with the rows known so far. Distances are relaxed until
+    the frontier is empty. Every step is written, so it costs one grouping of the state
+    and its tasks follow the size that the state has by then.
     """
-    stays = nodes(edges).select(F.col("id").alias("src"), F.col("id").alias("dst"),
-                                F.lit(0).cast("bigint").alias("cost"), F.lit(True).alias("stay"))
-    hops = cut_lineage(
-        edges.select("src", "dst", F.col("weight").alias("cost"), F.lit(False).alias("stay"))
-        .unionByName(stays))
+    hops = edges.select("src", "dst", F.col("weight").alias("cost"))
     state = sources.select("source", F.col("source").alias("node"),
                            F.lit(0).cast("bigint").alias("distance"), F.lit(True).alias("moving"))
     while True:
         before = state
-        for _ in range(STEPS_PER_JOB):
-            state = (_on_the_move(state, "moving").join(
-                hops, (F.col("node") == F.col("src")) & (F.col("goes") != F.col("stay")))
-                .groupBy("source", F.col("dst").alias("node"))
-                .agg(F.min(F.col("distance") + F.col("cost")).alias("distance"),
-                     F.max(F.when(F.col("stay"), F.col("distance"))).alias("known"))
-                .select("source", "node", "distance",
-                        (F.col("known").isNull() | (F.col("known") != F.col("distance")))
-                        .alias("moving")))
-        state = cut_lineage(state)
+        reached = state.filter("moving").join(hops, F.col("node") == F.col("src")).select(
+            "source", F.col("dst").alias("node"), (F.col("distance") + F.col("cost")).alias("distance"),
+            F.lit(None).cast("bigint").alias("known"))
+        state = cut_lineage(
+            state.select("source", "node", "distance", F.col("distance").alias("known"))
+            .unionByName(reached).groupBy("source", "node")
+            .agg(F.min("distance").alias("distance"), F.max("known").alias("known"))
+            .select("source", "node", "distance",
+                    (F.col("known").isNull() | (F.col("known") != F.col("distance"))).alias("moving")))
         discard(before)
         if state.filter("moving").isEmpty():
-            discard(hops)
             return backed_by(state.select("source", "node", "distance"), state)
 
 
-def _on_the_move(state: DataFrame, moving: str) -> DataFrame:
-    """Every row once for its stay, and once more if it goes along edges."""
-    once, twice = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
-    return state.withColumn("goes", F.explode(F.when(F.col(moving), twice).otherwise(once)))
-
-
 def path_sums(start: DataFrame, hops: DataFrame) -> DataFrame:
     """Sum of the start values over all paths of at least one hop that end in a node.
 
     ``start`` holds (source, node, value) for every node in reach and ``hops``
-    the acyclic (source, src, dst) steps. Values move one hop per step and what
-    arrives is added up; only rows with a wave go along hops, and the wave dies
-    out because paths are finite.
+    the acyclic (source, src, dst) steps. Values move one hop per step, and only the
+    wave is written: what arrived is added up every few steps. The wave dies out
+    because paths are finite.
     """
-    stays = start.select("source", F.col("node").alias("src"), F.col("node").alias("dst"),
-                         F.lit(True).alias("stay"))
-    hops = cut_lineage(hops.select("source", "src", "dst", F.lit(False).alias("stay"))
-                       .unionByName(stays))
-    state = start.select("source", "node", F.col("value").alias("wave"),
-                         F.lit(0.0).alias("total"))
+    steps = hops.select(F.col("source").alias("of"), "src", "dst")
+    total = start.select("source", "node", F.lit(0.0).alias("total"))
+    wave = start.filter(F.col("value") > 0).select("source", "node", "value")
+    counted, waves = wave, []
     while True:
-        before = state
-        for _ in range(STEPS_PER_JOB):
-            moved = F.sum(F.when(~F.col("stay"), F.col("wave")).otherwise(F.lit(0.0)))
-            kept = F.sum(F.when(F.col("stay"), F.col("total")).otherwise(F.lit(0.0)))
-            going = _on_the_move(state.withColumn("moving", F.col("wave") > 0), "moving")
-            pairs = hops.select(F.col("source").alias("of"), "src", "dst", "stay")
-            state = (going.join(pairs, (F.col("source") == F.col("of")) & (F.col("node") == F.col("src"))
-                                & (F.col("goes") != F.col("stay")))
-                     .groupBy("source", F.col("dst").alias("node"))
-                     .agg(moved.alias("wave"), (kept + moved).alias("total")))
-        state = cut_lineage(state)
-        discard(before)
-        if state.filter(F.col("wave") > 0).isEmpty():
-            discard(hops)
-            return backed_by(state.select("source", "node", "total"), state)
+        wave = cut_lineage(
+            wave.join(steps, (F.col("source") == F.col("of")) & (F.col("node") == F.col("src")))
+            .groupBy("source", F.col("dst").alias("node")).agg(F.sum("value").alias("value")))
+        waves.append(wave)
+        ended = wave.isEmpty()
+        if ended or len(waves) == STEPS_PER_JOB:
+            before, arrived = total, total
+            for w in waves:
+                arrived = arrived.unionByName(w.withColumnRenamed("value", "total"))
+            total = cut_lineage(arrived.groupBy("source", "node").agg(F.sum("total").alias("total")))
+            discard(before, counted, *(waves if ended else waves[:-1]))
+            if ended:
+                return total
+            # the last wave still moves on
+            counted, waves = wave, []
 
 
 def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
@@ -394,18 +381,25 @@ def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
     """
     if not edges.filter(~(F.col("weight") > 0)).isEmpty():
         raise ValueError("betweenness needs positive weights")
-    all_nodes = nodes(edges)
+    # numbers instead of names: rows of the state are three numbers
+    numbered = number_rows(nodes(edges), "number", F.col("id"))
+    all_nodes = cut_lineage(numbered)
+    discard(numbered)
     count = all_nodes.count()
-    chosen = (all_nodes.select(F.col("id").alias("source")) if sources is None
-              else betweenness_sources(all_nodes, sources, seed))
+    ends = [all_nodes.select(F.col("id").alias(e), F.col("number").alias(f"_{e}")) for e in ("src", "dst")]
+    links = cut_lineage(edges.join(ends[0], "src").join(ends[1], "dst").select(
+        F.col("_src").alias("src"), F.col("_dst").alias("dst"), "weight"))
+    chosen = (all_nodes if sources is None else all_nodes.join(
+        betweenness_sources(all_nodes, sources, seed), F.col("id") == F.col("source"))
+        ).select(F.col("number").alias("source"))
     used = count if sources is None else min(sources, count)
     # one batch is enough if all nodes in reach of all sources are
-    rows = used * count if used * count <= state_rows else _reach_rows(edges, chosen)
+    rows = used * count if used * count <= state_rows else _reach_rows(links, chosen)
     batches = max(1, -(-rows // state_rows))
     total = None
     for batch in range(batches):
         part = chosen.filter(F.pmod(F.xxhash64("source"), F.lit(batches)) == batch)
-        through, scratch = _through_nodes(edges, part)
+        through, scratch = _through_nodes(links, part)
         before = total
         if before is not None:
             through = before.unionByName(through)
@@ -414,8 +408,10 @@ def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
     scale = count / max(used, 1)
     if count > 2:
         scale /= (count - 1) * (count - 2)
-    return all_nodes.join(total, "id", "left").select(
-        "id", F.coalesce(F.col("through") * F.lit(scale), F.lit(0.0)).alias("betweenness"))
+    result = cut_lineage(all_nodes.join(total.withColumnRenamed("id", "number"), "number", "left").select(
+        "id", F.coalesce(F.col("through") * F.lit(scale), F.lit(0.0)).alias("betweenness")))
+    discard(all_nodes, links, total)
+    return result
 
 
 def _reach_rows(edges: DataFrame, sources: DataFrame) -> int:

@@ -252,3 +252,20 @@ def test_assembled_table(spark):
     empty = graph.airport_graph(connections.limit(0))
     assert empty.schema.names == list(rows[0].asDict())
     assert empty.count() == 0
+
+
+def test_only_waves_of_numbers_are_written(spark, monkeypatch):
+    """Path sums write what moved, not all known rows again in every step."""
+    chain = spark.createDataFrame([(0, i, i + 1) for i in range(7)], "source bigint, src bigint, dst bigint")
+    start = spark.createDataFrame([(0, i, float(i == 0)) for i in range(8)], "source bigint, node bigint, value double")
+    written = []
+
+    def cut(df):
+        written.append(cut_lineage(df))
+        return written[-1]
+
+    monkeypatch.setattr(graph, "cut_lineage", cut)
+    monkeypatch.setattr(graph, "discard", lambda *tables: None)
+    sums = {r["node"]: r["total"] for r in graph.path_sums(start, chain).collect()}
+    assert sums == {0: 0.0, **dict.fromkeys(range(1, 8), 1.0)}
+    assert all(df.count() <= 1 for df in written if "total" not in df.columns)
