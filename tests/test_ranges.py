@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from contrail.operators import ranges
 
 SCHEMA = "range_start string, range_end string, country_code string"
@@ -51,3 +53,22 @@ def test_pieces_cover_whole_ranges(spark):
     table = spark.createDataFrame([("3afff0", "3b1001", "A")], SCHEMA)
     pieces = {r["_piece"] for r in ranges.range_pieces(table).collect()}
     assert pieces == {"3af", "3b0", "3b1", "*"}
+
+
+@pytest.mark.parametrize("row_matches", [100_000, 7])
+def test_growing_tables_are_compared_by_distinct_keys(spark, monkeypatch, row_matches):
+    """Fine prefixes, and one list of matches for a row instead of a joined row for each."""
+    monkeypatch.setattr(ranges, "ROW_MATCHES", row_matches)
+    rng = random.Random(9)
+    rows = [("3b0000", "3bffff", "DE"), ("zz", "zzz", "ODD"), ("900000", "100000", "EMPTY"), ("3b:", "3c", "COLON")]
+    blocks = [("%06x" % low, "%06x" % (low + 95), "B") for low in (0x780000 + 64 * (i % 30) for i in range(120))]
+    keys = [None, "", "3b", "3b:abc", "3bffff", "3c0000", "zzz", "é80000"] + ["780801"] * 50
+    keys += ["%06x" % rng.randrange(0x77f000, 0x781000) for _ in range(200)]
+    keys = list(enumerate(keys))
+    df = spark.createDataFrame(keys, "id int, icao24 string")
+    pieces = []
+    monkeypatch.setattr(ranges, "range_pieces", lambda t, d=3, real=ranges.range_pieces: pieces.append(d) or real(t, d))
+    for table, digits in ((blocks, 5), (rows + blocks, 3), ([], 3)):
+        joined = ranges.range_classify(df, spark.createDataFrame(table, SCHEMA), by_keys=True)
+        assert found(joined) == brute(keys, table) and pieces.pop() == digits
+        assert "inline" in joined._jdf.queryExecution().executedPlan().toString()
