@@ -4,7 +4,8 @@ Graphs are edge rows ``(src, dst, weight)``; node results are keyed by ``id``.
 Iterations follow one pattern: a step is a single join and a single aggregation,
 in which one "stay" row per node carries its own values along. A step refers to
 its input once, so several steps are chained into one job before the state is
-checkpointed, and the driver reads only a few scalars per job.
+checkpointed, and the driver reads only a few scalars per job. Betweenness is the
+exception: its state is large, so every step is written and only what moved is joined.
 """
 
 from __future__ import annotations
