@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 # Fixed value: flights of the last nation use an airport id that no nation has.
 LAST_NATION, UNKNOWN_AIRPORT = 24, 99
-# Line items of the test files lie in few row groups, which no reader splits: they are dealt
-# over so many tasks first, at every size. A table of many row groups needs no such step.
-LINE_TASKS = 16
 # Columns the fixtures read; a declared schema saves a file-sampling job per table.
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -55,7 +52,9 @@ def _airport(nation: str) -> str:
 def raw_flights(spark: SparkSession, folder: str, day: dt.date | None = None) -> DataFrame:
     """Deliveries from line items: supplier nation to a nation of the same block.
 
-    What depends on the order or the supplier alone is computed before the join.
+    What depends on the order or the supplier alone is computed before the join. Line items
+    of the test files lie in few row groups, which no reader splits: they are dealt by order,
+    so that the join with large orders needs no other shuffle of them.
     ``day`` limits the scan to the line items shipped then.
     """
     orders = table(spark, folder, "orders").selectExpr(
@@ -78,7 +77,7 @@ def raw_flights(spark: SparkSession, folder: str, day: dt.date | None = None) ->
         "date(l_shipdate) as source_date",
         "unix_timestamp(timestamp(l_shipdate))"
         " + (l_orderkey * 37 + l_linenumber * 11) % 86400 as first_seen")
-    joined = (lines.repartition(LINE_TASKS).join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    joined = (lines.repartition("l_orderkey").join(orders, lines["l_orderkey"] == orders["o_orderkey"])
               .join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]))
     return joined.selectExpr(
         "concat(' ', lpad(hex(coalesce(fleet, if(bursts and day(source_date) = 13"

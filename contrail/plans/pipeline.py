@@ -36,12 +36,16 @@ def flight_models(raw: DataFrame, airport_seed: DataFrame, range_seed: DataFrame
                   watch: quality.Watch | None = None) -> Models:
     """The view layers from raw flights to military flights.
 
-    With ``watch`` the staged flights are checked while the enriched ones are made.
+    With ``watch`` staged flights and airports are written once and checked while they are;
+    all that follows reads them from there, airports with a known size.
     """
     flights = staging.stage_flights(raw)
     airports = staging.stage_airports(airport_seed)
+    if watch:
+        flights = cut_lineage(watch.add("stg_flights", flights))
+        airports = cut_lineage(watch.add("stg_airports", airports))
     ranges = staging.stage_ranges(range_seed)
-    classified = enrich.classify_flights(watch.add("stg_flights", flights) if watch else flights, ranges)
+    classified = enrich.classify_flights(flights, ranges)
     enriched = enrich.enrich_flights(classified, airports)
     return Models(flights, airports, ranges, classified, enriched,
                   enrich.military_flights(enriched))
@@ -51,17 +55,17 @@ def build_tables(models: Models, settings: Settings = Settings(),
                  watch: quality.Watch | None = None) -> dict[str, DataFrame]:
     """All models by name.
 
-    Enriched flights are written once; the route measures, the daily counts and
-    the checks read them from there. Both aggregates are small next to the flights
-    and are written as well; every mart is derived from them.
+    The route measures and the daily counts are small next to the flights and are written;
+    every mart is derived from them. Enriched flights are not: either aggregate needs few
+    of their columns, which are cheaper made from staged flights than written and read. Their
+    checks are counted while the route measures are made.
     """
-    enriched = cut_lineage(watch.add("flights_enriched", models.flights_enriched) if watch
-                           else models.flights_enriched)
-    military = enrich.military_flights(enriched)
-    without_places = enriched.drop(*(f"{end}_{c}" for end in ("origin", "destination")
-                                     for c in ("airport_name", "city", "country", "lat", "lon")))
+    enriched = models.flights_enriched
+    without_places = (watch.add("flights_enriched", enriched) if watch else enriched).drop(
+        *(f"{end}_{c}" for end in ("origin", "destination")
+          for c in ("airport_name", "city", "country", "lat", "lon")))
     rollup = cut_lineage(routes.route_rollup(without_places, models.stg_airports))
-    daily = cut_lineage(activity.daily_military_counts(military, settings))
+    daily = cut_lineage(activity.daily_military_counts(models.military_flights, settings))
     connections = routes.connections_from_rollup(rollup)
     military_activity = activity.military_activity(daily, settings)
     return {
@@ -69,7 +73,7 @@ def build_tables(models: Models, settings: Settings = Settings(),
         "stg_airports": models.stg_airports,
         "stg_ranges": models.stg_ranges,
         "flights_enriched": enriched,
-        "military_flights": military,
+        "military_flights": models.military_flights,
         "airport_connections": connections,
         "daily_military_counts": daily,
         "flight_performance": routes.performance_from_rollup(rollup, settings),

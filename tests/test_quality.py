@@ -2,7 +2,8 @@ import pytest
 
 from contrail.operators import quality
 from contrail.operators.quality import Check
-from contrail.session import cut_lineage
+from contrail.plans import fixtures, pipeline
+from contrail.session import checkpoint_folder, cut_lineage
 
 
 def test_single_checks(spark):
@@ -80,3 +81,43 @@ def test_watched_writes_report_what_the_suite_finds(spark):
         written = {name: cut_lineage(watch.add(name, models[name])) for name in ("m", "none")}
         got = watch.report({**written, "other": df}).collect()
         assert sorted(got) == sorted(quality.run_suite(models, suite).collect())
+
+
+def test_a_watched_run_reads_the_raw_flights_once(spark, small):
+    raw = cut_lineage(fixtures.raw_flights(spark, small))
+    seeds = fixtures.airport_metadata(spark, small), fixtures.military_ranges(spark)
+    lazy = pipeline.build_tables(pipeline.flight_models(raw, *seeds))
+    watch = quality.Watch()
+    built = pipeline.build_tables(pipeline.flight_models(raw, *seeds, watch), watch=watch)
+    report = watch.report(built)
+    # what the checks still read after the writes: staged tables, neither raw rows nor a seed's join
+    assert not set(report.inputFiles()) & set(raw.inputFiles())
+    for name in ("stg_flights", "stg_airports", "flights_enriched", "airport_network"):
+        assert all(checkpoint_folder(spark) in f for f in built[name].inputFiles())
+    assert sorted(report.collect()) == sorted(quality.run_suite(lazy).collect())
+    for name in pipeline.VIEWS:
+        assert built[name].columns == lazy[name].columns and built[name].count() == lazy[name].count()
+
+
+def test_enriched_checks_count_what_a_repeated_airport_multiplies(spark, small):
+    # two rows of one id for an airport: its flights are enriched twice, and count twice
+    seed = fixtures.airport_metadata(spark, small)
+    twice = seed.unionByName(seed.where("airport_id = ' n001'"))
+    raw, ranges = fixtures.raw_flights(spark, small), fixtures.military_ranges(spark)
+    checks = [c for c in quality.SUITE if c.model in ("stg_flights", "stg_airports", "flights_enriched")]
+    watch = quality.Watch(checks)
+    built = pipeline.build_tables(pipeline.flight_models(raw, twice, ranges, watch), watch=watch)
+    got = {r["check"]: r["failures"] for r in watch.report(built).collect()}
+    plain = quality.run_suite(vars(pipeline.flight_models(raw, twice, ranges)), checks)
+    assert got == {r["check"]: r["failures"] for r in plain.collect()}
+    assert got["unique:stg_airports.airport_id"] == 1 and got["max_value:flights_enriched.flight_duration_min"] > 0
+
+
+def test_lines_are_dealt_by_order_at_any_size(spark, small):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fixtures.raw_flights(spark, small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "RoundRobin" not in plan and plan.count("hashpartitioning(l_orderkey") == 1
