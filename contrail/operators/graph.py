@@ -5,11 +5,17 @@ Iterations follow one pattern: a step is a single join and a single aggregation,
 in which one "stay" row per node carries its own values along. A step refers to
 its input once, so several steps are chained into one job before the state is
 checkpointed, and the driver reads only a few scalars per job. Betweenness is the
-exception: its state is large, so every step is written and only what moved is joined.
+exception: tasks walk the whole graph from their share of the sources, as long as its edges
+fit into a task. Beyond that its state is a table, every step of which is written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +27,13 @@ from contrail.session import backed_by, cut_lineage, discard
 STEPS_PER_JOB = 5
 # Decimals at which two scores, scaled to a mean of 1, count as equal when ranked.
 RANK_DIGITS = 9
-# (source, node) rows that betweenness works on at a time, about.
+# Edges of a graph that every task of betweenness may hold, 24 bytes each.
+TASK_EDGES = 4_000_000
+# Edges that one such task follows, about, if all nodes are in reach; tasks at most.
+TASK_STEPS, MAX_TASKS = 5_000_000, 512
+# (source, node) cells and edges that a task works on at a time, about.
+BLOCK_CELLS, BLOCK_STEPS = 1_000_000, 1_000_000
+# (source, node) rows that betweenness of larger graphs works on at a time, about.
 STATE_ROWS = 20_000_000
 
 
@@ -373,12 +385,13 @@ def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
                 state_rows: int = STATE_ROWS) -> DataFrame:
     """Share of shortest paths through each node, weights taken as lengths.
 
-    Exact at any size. The state is (source, node), so sources are worked in
-    batches of about ``state_rows`` such rows. What a source can reach at most is its
-    weakly connected component, which is what batches are sized by. Each batch is added
-    to one table of running sums, then its tables are deleted.
+    Exact at any size. Up to ``TASK_EDGES`` edges every task holds the graph and walks it
+    from its share of the sources. Beyond that the state is a table of (source, node), so
+    sources are worked in batches of about ``state_rows`` such rows. What a source can reach
+    at most is its weakly connected component, which is what batches are sized by. Each batch
+    is added to one table of running sums, then its tables are deleted.
     A number of ``sources`` asks for an approximation from so many nodes, scaled
-    up by their share. Weights have to be positive.
+    up by their share. Weights have to be positive; an edge without one leads nowhere.
     """
     if not edges.filter(~(F.col("weight") > 0)).isEmpty():
         raise ValueError("betweenness needs positive weights")
@@ -388,12 +401,161 @@ def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
     discard(numbered)
     count = all_nodes.count()
     ends = [all_nodes.select(F.col("id").alias(e), F.col("number").alias(f"_{e}")) for e in ("src", "dst")]
-    links = cut_lineage(edges.join(ends[0], "src").join(ends[1], "dst").select(
+    links = cut_lineage(edges.filter("weight is not null").join(ends[0], "src").join(ends[1], "dst").select(
         F.col("_src").alias("src"), F.col("_dst").alias("dst"), "weight"))
     chosen = (all_nodes if sources is None else all_nodes.join(
         betweenness_sources(all_nodes, sources, seed), F.col("id") == F.col("source"))
         ).select(F.col("number").alias("source"))
     used = count if sources is None else min(sources, count)
+    size = links.count()
+    if size <= TASK_EDGES:
+        total = _totals_by_walks(links, chosen, count, min(MAX_TASKS, used, -(-used * size // TASK_STEPS)))
+    else:
+        total = _totals_by_joins(links, chosen, used, count, state_rows)
+    scale = count / max(used, 1)
+    if count > 2:
+        scale /= (count - 1) * (count - 2)
+    result = cut_lineage(all_nodes.join(total.withColumnRenamed("id", "number"), "number", "left").select(
+        "id", F.coalesce(F.col("through") * F.lit(scale), F.lit(0.0)).alias("betweenness")))
+    discard(all_nodes, links, total)
+    return result
+
+
+class Links(NamedTuple):
+    """Edges by source: those of node i are numbers first[i] to first[i + 1] of the others."""
+
+    first: np.ndarray
+    dst: np.ndarray
+    weight: np.ndarray
+
+
+def _totals_by_walks(links: DataFrame, chosen: DataFrame, count: int, tasks: int) -> DataFrame:
+    """Sums per node over all sources, which tasks share; each holds the edges."""
+    context = links.sparkSession.sparkContext
+    shared = context.broadcast(_sorted_links(links, count))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        graph, through = shared.value, np.zeros(count)
+        width = max(1, BLOCK_CELLS // max(1, count))
+        for batch in batches:
+            sources = batch["source"].to_numpy() - 1
+            for at in range(0, len(sources), width):
+                through += dependencies(graph, sources[at:at + width])
+        found = np.flatnonzero(through)
+        yield pd.DataFrame({"id": found + 1, "through": through[found]})
+
+    # a given number of partitions, as adaptive execution would make one of rows this small
+    walked = chosen.repartition(max(1, tasks)).mapInPandas(run, "id bigint, through double")
+    total = cut_lineage(walked.groupBy("id").agg(F.sum("through").alias("through")))
+    shared.destroy()
+    return total
+
+
+def _sorted_links(links: DataFrame, count: int) -> Links:
+    table = links.toArrow()
+    src, dst, weight = (table.column(c).to_numpy() for c in ("src", "dst", "weight"))
+    order = np.argsort(src, kind="stable")
+    first = np.concatenate([[0], np.cumsum(np.bincount(src - 1, minlength=count))]).astype(np.int64)
+    return Links(first, (dst[order] - 1).astype(np.int64), weight[order])
+
+
+def dependencies(graph: Links, sources: np.ndarray) -> np.ndarray:
+    """Shares of the shortest paths from the sources that lead through each node, added up.
+
+    Brandes' algorithm for all these sources at once; a cell is a node as seen from one of them.
+    """
+    count = len(graph.first) - 1
+    origins = np.arange(len(sources)) * count + sources
+    u, v = _tight_cells(graph, origins, _cell_distances(graph, origins))
+    cells = len(sources) * count
+    first = np.concatenate([[0], np.cumsum(np.bincount(u, minlength=cells))])
+    waiting = np.bincount(v, minlength=cells)
+    owner = np.empty(cells, dtype=np.int64)
+    # a cell's paths are complete as soon as all tight edges into it were followed
+    paths, levels, complete = np.zeros(cells), [], origins
+    paths[origins] = 1.0
+    while complete.size:
+        at = _spans(first[complete], first[complete + 1])
+        into = v[at]
+        np.add.at(paths, into, paths[u[at]])
+        np.subtract.at(waiting, into, 1)
+        levels.append(at)
+        complete = _distinct(into[waiting[into] == 0], owner)
+    share = np.zeros(cells)
+    for at in reversed(levels):
+        np.add.at(share, u[at], paths[u[at]] / paths[v[at]] * (1.0 + share[v[at]]))
+    share[origins] = 0.0
+    return share.reshape(len(sources), count).sum(axis=0)
+
+
+def _cell_distances(graph: Links, origins: np.ndarray) -> np.ndarray:
+    """Length of the shortest path to each cell, the largest value where there is none.
+
+    Cells wait until they are among the nearest, within a step that keeps rounds few; with
+    steps of the smallest weight each would be followed once.
+    """
+    count = len(graph.first) - 1
+    whole = np.issubdtype(graph.weight.dtype, np.integer)
+    far = np.iinfo(np.int64).max if whole else np.inf
+    distance = np.full(len(origins) * count, far, dtype=np.int64 if whole else float)
+    distance[origins] = 0
+    owner = np.empty(len(distance), dtype=np.int64)
+    step = max(graph.weight.min(), graph.weight.mean() / 4) if graph.weight.size else 1
+    pending = origins
+    while pending.size:
+        known = distance[pending]
+        near = known < known.min() + step
+        moved, pending = pending[near], [pending[~near]]
+        for cells, edges in _followed(graph, moved):
+            into = cells - cells % count + graph.dst[edges]
+            length = distance[cells] + graph.weight[edges]
+            better = length < distance[into]
+            into = into[better]
+            np.minimum.at(distance, into, length[better])
+            pending.append(into)
+        pending = _distinct(np.concatenate(pending), owner)
+    return distance
+
+
+def _tight_cells(graph: Links, origins: np.ndarray, distance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of the edges on shortest paths, in the order of the first."""
+    count = len(graph.first) - 1
+    far = np.iinfo(np.int64).max if distance.dtype == np.int64 else np.inf
+    tails, heads = [origins[:0]], [origins[:0]]
+    for cells, edges in _followed(graph, np.flatnonzero(distance < far)):
+        into = cells - cells % count + graph.dst[edges]
+        tight = distance[cells] + graph.weight[edges] == distance[into]
+        tails.append(cells[tight])
+        heads.append(into[tight])
+    return np.concatenate(tails), np.concatenate(heads)
+
+
+def _followed(graph: Links, cells: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cells, once per edge that leaves their node, and these edges, about BLOCK_STEPS at a time."""
+    node = cells % (len(graph.first) - 1)
+    start, end = graph.first[node], graph.first[node + 1]
+    total = np.cumsum(end - start)
+    cuts = np.searchsorted(total, np.arange(BLOCK_STEPS, total[-1] if total.size else 0, BLOCK_STEPS))
+    for low, high in zip([0, *cuts], [*cuts, len(cells)]):
+        if low < high:
+            yield (np.repeat(cells[low:high], (end - start)[low:high]), _spans(start[low:high], end[low:high]))
+
+
+def _spans(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers from each start up to its end, one span after the other."""
+    width = end - start
+    return np.arange(width.sum()) + np.repeat(start - np.cumsum(width) + width, width)
+
+
+def _distinct(cells: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Each cell once; ``owner`` is scratch space for every cell."""
+    place = np.arange(len(cells))
+    owner[cells] = place
+    return cells[owner[cells] == place]
+
+
+def _totals_by_joins(links: DataFrame, chosen: DataFrame, used: int, count: int, state_rows: int) -> DataFrame:
+    """Sums per node over all sources in batches of bounded state."""
     # one batch is enough if all nodes in reach of all sources are
     rows = used * count if used * count <= state_rows else _reach_rows(links, chosen)
     batches = max(1, -(-rows // state_rows))
@@ -406,13 +568,7 @@ def betweenness(edges: DataFrame, sources: int | None = None, seed: int = 42,
             through = before.unionByName(through)
         total = cut_lineage(through.groupBy("id").agg(F.sum("through").alias("through")))
         discard(*scratch, *([] if before is None else [before]))
-    scale = count / max(used, 1)
-    if count > 2:
-        scale /= (count - 1) * (count - 2)
-    result = cut_lineage(all_nodes.join(total.withColumnRenamed("id", "number"), "number", "left").select(
-        "id", F.coalesce(F.col("through") * F.lit(scale), F.lit(0.0)).alias("betweenness")))
-    discard(all_nodes, links, total)
-    return result
+    return total
 
 
 def _reach_rows(edges: DataFrame, sources: DataFrame) -> int:

@@ -269,3 +269,45 @@ def test_only_waves_of_numbers_are_written(spark, monkeypatch):
     sums = {r["node"]: r["total"] for r in graph.path_sums(start, chain).collect()}
     assert sums == {0: 0.0, **dict.fromkeys(range(1, 8), 1.0)}
     assert all(df.count() <= 1 for df in written if "total" not in df.columns)
+
+
+@pytest.mark.parametrize("cells,steps", [(1_000_000, 1_000_000), (70, 5), (1, 1)])
+def test_betweenness_walks_blocks_of_sources(spark, monkeypatch, cells, steps):
+    monkeypatch.setattr(graph, "BLOCK_CELLS", cells)
+    monkeypatch.setattr(graph, "BLOCK_STEPS", steps)
+    monkeypatch.setattr(graph, "TASK_STEPS", 200)
+    for span in (1, 9, 4_000):
+        edges = {**random_edges(12, 25, 90, span=span), ("x1", "x2"): 5, ("x2", "x3"): 1, ("x2", "x2"): 1}
+        got = as_dict(graph.betweenness(cut_lineage(frame(spark, edges))), "betweenness")
+        assert got == pytest.approx(plain_betweenness(edges), abs=1e-12)
+
+
+def test_betweenness_does_not_write_every_step(spark, monkeypatch):
+    """Tables do not follow the length of the paths."""
+    written = []
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: written.append(1) or cut_lineage(df))
+    names = [f"p{i:02d}" for i in range(30)]
+    edges = {pair: 2 for pair in zip(names, names[1:])}
+    got = as_dict(graph.betweenness(frame(spark, edges)), "betweenness")
+    assert got == pytest.approx(plain_betweenness(edges), abs=1e-12)
+    assert len(written) <= 6
+
+
+def test_betweenness_of_a_graph_beyond_one_task(spark, monkeypatch):
+    """The state is a table then, in batches."""
+    monkeypatch.setattr(graph, "TASK_EDGES", 10)
+    folder = Path(graph.cut_lineage(spark.range(1)).contrail_path).parent
+    edges = random_edges(14, 12, 30)
+    df, held = cut_lineage(frame(spark, edges)), set(folder.iterdir())
+    got = graph.betweenness(df, state_rows=80)
+    # the edges, and the result
+    assert as_dict(got, "betweenness") == pytest.approx(plain_betweenness(edges), abs=1e-12)
+    assert len(set(folder.iterdir()) - held) == 1
+
+
+@pytest.mark.parametrize("most", [graph.TASK_EDGES, 0])
+def test_edges_without_weight_lead_nowhere(spark, monkeypatch, most):
+    monkeypatch.setattr(graph, "TASK_EDGES", most)
+    edges = {("a", "b"): 1, ("b", "c"): 1, ("c", "d"): None}
+    got = as_dict(graph.betweenness(frame(spark, edges)), "betweenness")
+    assert got == {"a": 0.0, "b": pytest.approx(1 / 6), "c": 0.0, "d": 0.0}
