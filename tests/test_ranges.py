@@ -2,7 +2,10 @@ import random
 
 import pytest
 
-from contrail.operators import ranges
+from pyspark.sql import functions as F
+
+from contrail.operators import intervals, ranges
+from contrail.plans import registry
 
 SCHEMA = "range_start string, range_end string, country_code string"
 
@@ -72,3 +75,35 @@ def test_growing_tables_are_compared_by_distinct_keys(spark, monkeypatch, row_ma
         joined = ranges.range_classify(df, spark.createDataFrame(table, SCHEMA), by_keys=True)
         assert found(joined) == brute(keys, table) and pieces.pop() == digits
         assert "inline" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("join", [lambda df, t: ranges.range_classify(df, t, by_keys=True), intervals.interval_join])
+def test_rows_are_computed_once_for_keys_and_matches(spark, join):
+    table = spark.createDataFrame([("3b0000", "3bffff", "DE"), ("3a0000", "3bffff", "AA")], SCHEMA)
+    df = spark.createDataFrame([(1, "3b0001"), (2, None)], "id int, icao24 string").withColumn("digest", F.md5("icao24"))
+    joined = join(df, table)
+    assert "md5" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    # matches in order, so that equal values follow each other where rows are written
+    assert [r["range_start"] for r in joined.where("id = 1").collect()] == ["3a0000", "3b0000"]
+    assert found(joined) == brute([(1, "3b0001"), (2, None)], [tuple(r) for r in table.collect()])
+
+
+@pytest.mark.parametrize("most,operator", [(10, "BroadcastHashJoin"), (1, "SortMergeJoin")])
+def test_lists_are_broadcast_by_their_matches(spark, monkeypatch, most, operator):
+    monkeypatch.setattr(ranges, "BROADCAST_MATCHES", most)
+    table = spark.createDataFrame([("3b0000", "3bffff", "DE"), ("3a0000", "3bffff", "AA")], SCHEMA)
+    keys = [(1, "3b0001"), (2, "000000"), (3, None)]
+    joined = ranges.range_classify(spark.createDataFrame(keys, "id int, icao24 string"), table, by_keys=True)
+    assert operator in joined._jdf.queryExecution().executedPlan().toString()
+    assert found(joined) == brute(keys, [tuple(r) for r in table.collect()])
+
+
+@pytest.mark.parametrize("name", ["interval_text_keys", "range_classify_bucketed", "interval_classify"])
+def test_repeated_ids_are_packed(spark, small, tmp_path, name):
+    setting = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(setting)
+    try:
+        registry.queries()[name](spark, small).write.parquet(f"{tmp_path}/out")
+    finally:
+        spark.conf.set(setting, before)
+    assert all(".zstd." in f.name for f in (tmp_path / "out").glob("*.parquet"))
